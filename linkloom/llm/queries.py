@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import chat, tokenids
+from linkloom.llm import chat, langid, tokenids, toxicity
 from linkloom.llm.common import Workspace
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -33,9 +33,19 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         return chat.digests(ws.keep(chat.format_chats(rows.unionByName(probe)), "formatted"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_chat_format": op2_chat_format,
+    "op5_toxicity": op5_toxicity,
+    "op8_language_id": op8_language_id,
 }
 
 OP2_SQL = """

@@ -73,10 +73,10 @@ def slices(col: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray
         a = b
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of lower-cased words: hashes, byte starts and ends, and for each row where its words begin (and the end)."""
+def word_hashes(data: np.ndarray, off: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of lower-cased words, parted by the bytes of blank: hashes, byte starts and ends, and for each row where its words begin (and the end)."""
     low = LOWER[data]
-    word = ~BLANK[low]
+    word = ~blank[low]
     first, last = word.copy(), word.copy()
     if len(low):
         cut = np.zeros(len(low) + 1, bool)

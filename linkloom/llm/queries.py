@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import chat, langid, secrets, tokenids, toxicity
+from linkloom.llm import chat, decontamination, langid, mixing, secrets, tokenids, toxicity
 from linkloom.llm.common import Workspace
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -45,12 +45,27 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+#: The tokens of the input, by domain, then language; sources of a language alike. A text is taken twice at most.
+WEIGHTS = {"d0": (0.4, {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}), "d1": (0.3, {"en": 0.4, "*": 0.2}), "d2": 0.2, "d3": 0.1}
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix_sources(docs, WEIGHTS, seed=7, max_epochs=2).select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_epoch")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_chat_format": op2_chat_format,
     "op4_secret_scan": op4_secret_scan,
     "op5_toxicity": op5_toxicity,
+    "op7_mix_sources": op7_mix_sources,
     "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
 }
 
 OP2_SQL = """

@@ -1,8 +1,8 @@
-"""Token-ID output: flat unsigned 32-bit files with 64-bit document offsets, read through memory maps.
+"""Token-ID output: flat unsigned integer files with 64-bit document offsets, read through memory maps.
 
 Layout of a written corpus, one folder:
 
-- ``shard-P-U.ids``: the ids of partition P as little-endian unsigned 32-bit integers, one document after another, each
+- ``shard-P-U.ids``: the ids of partition P as little-endian unsigned integers, of 16 bits where the vocabulary fits and else 32, one document after another, each
   ended by the end id; U tells attempts of a task apart, so a retried or speculative task never touches another's file.
 - ``shard-P-U.off``: little-endian unsigned 64-bit offsets into the shard's ids, one for each document and one for the end.
 - ``shard-P-U.doc``: little-endian signed 64-bit document ids (a null id is the least integer).
@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import clean_text, shared_dir, shuffle_parts
+from linkloom.llm.textarrays import prefix_hash, slices, span
 
-#: A blank before white space; the first ten are ASCII.
-BLANKS = [f" {chr(c)}" for c in range(0x3001) if chr(c).isspace()]
 NO_ID = np.iinfo(np.int64).min
-#: Words, and as many parts, whose ids a worker remembers at once; the longest part it remembers.
-REMEMBERED, LONGEST = 700_000, 48
+#: Parts of a generation whose ids a worker remembers.
+REMEMBERED = 800_000
 
 
 def is_local(url: str) -> bool:
@@ -70,78 +69,112 @@ def mapped(url: str, kind: str) -> np.ndarray:
         return np.frombuffer(f.read(), kind)
 
 
+def _table(codes: list[int] | range | bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(codes)] = True
+    return out
+
+
+_LETTER = _table([*range(65, 91), *range(97, 123)])
+_WHITE = _table([*range(9, 14), *range(28, 33)])
+_MARK = _table(b",.;:!?|)")
+#: White space, and the lead bytes of characters that may be white space.
+_UNSURE = _WHITE | _table([0xC2, 0xE1, 0xE2, 0xE3])
+_PLAIN = ~_WHITE & (np.arange(256) < 128)
+
+
 class Encoder:
-    """Ids of texts as bytes, by a vocabulary file of the tokenizers library with byte-level words.
+    """Ids of texts by a vocabulary file of the tokenizers library with byte-level words.
 
-    Such a vocabulary parts a text before each blank that a non-blank follows, whatever stands around it. Ids of these
-    parts, and of the words that make up a part, are looked up in bounded memories; the library encodes what is new.
+    Such a vocabulary cuts a text into words before it merges, so texts can be cut wherever a word ends for certain: before
+    a blank that a non-blank follows, between an ASCII letter and a punctuation mark, and behind a lone line feed before an
+    ASCII letter. Parts are told apart by 64-bit hashes; the library encodes each new one, and a bounded memory (two
+    generations) keeps its ids. A text that holds a special token's string is one part.
     """
 
-    def __init__(self, path: str):
-        import regex
+    def __init__(self, path: str, kind: str = "<u4"):
         from tokenizers import Tokenizer
 
-        self.library, self.parts_known, self.words_known = Tokenizer.from_file(path), {}, {}
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall  # the byte-level word pattern, fixed
-        self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        self.library, self.kind = Tokenizer.from_file(path), kind
+        self.known: dict[int, bytes] = {}
+        self.before: dict[int, bytes] = {}
+        self.special = [x.content.encode() for x in self.library.get_added_tokens_decoder().values()]
         self.line = self.library.encode("\n", add_special_tokens=False).ids
 
     def alone(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn_words(self, words: list[str]) -> None:
-        """Words without inner white space are encoded many to a text, a line for each."""
-        plain = [w for w in words if len(self.line) == 1 and not w[-1].isspace()]
+    def encode(self, parts: list[bytes]) -> list[bytes]:
+        """Parts without white space but for a blank in front are encoded many to a text, a line for each."""
+        out: list[bytes] = [b""] * len(parts)
+        text = [p.decode() for p in parts]
+        plain = [i for i, t in enumerate(text) if len(self.line) == 1 and len(t) < 1000 and (t[1:] or t).isprintable() and " " not in t[1:] and not t.isspace()]
         for a in range(0, len(plain), 2000):
             some = plain[a : a + 2000]
-            ids = np.array(self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            raw, cut = ids.tobytes(), np.flatnonzero(ids == self.line[0]) * 4
-            if len(cut) != len(some) - 1:
-                self.words_known.update(zip(some, self.alone(some), strict=True))
-                continue
-            cut = cut.tolist()
-            self.words_known.update((w, raw[i:j]) for w, i, j in zip(some, [0, *(x + 4 for x in cut)], [*cut, len(raw)], strict=True))
-        rest = [w for w in words if len(self.line) != 1 or w[-1].isspace()]
-        self.words_known.update(zip(rest, self.alone(rest), strict=True))
-
-    def learn(self, parts: list[str]) -> dict[str, bytes]:
-        got = dict.fromkeys(parts, b"")
-        split = {p: self.words(" " + p) for p in parts if len(p) <= LONGEST and not any(x in p for x in self.special)}
-        self.learn_words([w for w in {w for ws in split.values() for w in ws} if w not in self.words_known])
-        known = self.words_known
-        got.update((p, b"".join([known[w] for w in ws])) for p, ws in split.items())
-        self.parts_known.update((p, got[p]) for p in split)
-        rest = [p for p in parts if p not in split]
-        got.update(zip(rest, self.alone([" " + p for p in rest]), strict=True))
-        return got
-
-    def __call__(self, texts: list[str], end: bytes) -> list[bytes]:
-        for memory in (self.parts_known, self.words_known):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        todo = [self.parts(t) for t in texts]
-        known, other = self.parts_known, {}
-        new = list(set().union(*[parts for _, parts in todo]) - known.keys())
-        for a in range(0, len(new), 50_000):
-            other |= {p: x for p, x in self.learn(new[a : a + 50_000]).items() if p not in known}
-        out = []
-        for h, (_, parts) in zip(self.alone([h for h, _ in todo]), todo, strict=True):
-            try:
-                ids = list(map(known.__getitem__, parts))
-            except KeyError:
-                ids = [known[p] if p in known else other[p] for p in parts]
-            out.append(b"".join([h, *ids, end]))
+            ids = np.array(self.library.encode_batch_fast(["\n".join([text[i] for i in some])], add_special_tokens=False)[0].ids, self.kind)
+            raw, cut = ids.tobytes(), (np.flatnonzero(ids == self.line[0]) * ids.itemsize).tolist()
+            got = [raw[i:j] for i, j in zip([0, *(x + ids.itemsize for x in cut)], [*cut, len(raw)], strict=True)]
+            for i, x in zip(some, got if len(got) == len(some) else self.alone([text[i] for i in some]), strict=True):
+                out[i] = x
+        once = set(plain)
+        rest = [i for i in range(len(text)) if i not in once]
+        for i, x in zip(rest, self.alone([text[i] for i in rest]), strict=True):
+            out[i] = x
         return out
 
-    @staticmethod
-    def parts(text: str) -> tuple[str, list[str]]:
-        """The head, and the parts that follow it with a blank before each."""
-        parts = text.split(" ")
-        if text[-1:] == " " or any(x in text for x in (BLANKS[:10] if text.isascii() else BLANKS)):
-            odd = [i for i, p in enumerate(parts) if i and (not p or p[0].isspace())]
-            for i in reversed(odd):
-                parts[i - 1 : i + 1] = [f"{parts[i - 1]} {parts[i]}"]
-        return parts[0], parts[1:]
+    def cuts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Where parts begin."""
+        c = np.zeros(len(data) + 1, bool)
+        if len(data) > 2:
+            c[:-2] = (data[:-1] == 32) & ~_UNSURE[data[1:]]
+            c[off[1:-1] - 1] = False
+            c[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+            line = (data[1:-1] == 10) & _LETTER[data[2:]] & _PLAIN[data[:-2]]
+            line[np.minimum(off[:-1], len(line))[1:] - 1] = False  # a line feed that begins its text
+            c[2:-1] |= line
+        raw = data.tobytes()
+        for x in self.special:
+            at = raw.find(x)
+            while at >= 0:
+                d = np.searchsorted(off, at, "right")
+                c[off[d - 1] : off[d]] = False
+                at = raw.find(x, at + 1)
+        c[off[:-1][np.diff(off) > 0]] = True
+        return np.flatnonzero(c[:-1])
+
+    def __call__(self, data: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id behind it, and the number of each text's ids."""
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        at = self.cuts(data, off)
+        to = np.append(at[1:], len(data)) if len(at) else at
+        code, distinct = pd.factorize(span(prefix_hash(data), at, to))
+        first = np.zeros(len(distinct), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        keys = distinct.tolist()
+        known, before = self.known, self.before
+        found = [known.get(k) or before.get(k) for k in keys]
+        new = [i for i, x in enumerate(found) if x is None]
+        raw = data.tobytes()
+        for i, x in zip(new, self.encode([raw[at[first[i]] : to[first[i]]] for i in new]), strict=True):
+            found[i] = x
+        known.update((k, x) for k, x in zip(keys, found, strict=True) if len(x) < 100)
+        flat = np.frombuffer(b"".join(found), self.kind)
+        size = np.array([len(x) for x in found], np.int64) // np.dtype(self.kind).itemsize
+        begin = np.append(0, np.cumsum(size))[:-1]
+        n = size[code]
+        total = np.append(0, np.cumsum(n))
+        per_text = np.diff(total[np.searchsorted(at, off)])
+        out = np.full(total[-1] + len(per_text), end_id, self.kind)
+        out[np.arange(total[-1]) + np.repeat(np.arange(len(per_text)), per_text)] = flat[np.repeat(begin[code] - total[:-1], n) + np.arange(total[-1])]
+        return out, per_text + 1
+
+
+def id_type(vocabulary: str) -> str:
+    """Two bytes where all ids fit, else four; little-endian."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
 
 
 _encoders: dict[str, Encoder] = {}
@@ -149,7 +182,7 @@ _encoders: dict[str, Encoder] = {}
 
 def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every whole text and writes the corpus to the folder (layout above)."""
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, id_type(vocabulary)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     order = ["doc_id", F.xxhash64("text"), "text"]
     rows = rows.repartitionByRange(shuffle_parts(spark), *order[:2]).sortWithinPartitions(*order)
@@ -157,8 +190,8 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _encoders:
             _encoders.clear()
-            _encoders[vocabulary] = Encoder(vocabulary)
-        use, end = _encoders[vocabulary], np.array([end_id], "<u4").tobytes()
+            _encoders[vocabulary] = Encoder(vocabulary, kind)
+        use = _encoders[vocabulary]
         shard, stem = TaskContext.get().partitionId(), None
         ids = offsets = names = None
         at = n = 0
@@ -170,11 +203,11 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
                 ids, offsets, names = (sink(f"{folder}/{stem}.{x}") for x in ("ids", "off", "doc"))
                 offsets.write(np.zeros(1, "<u8").tobytes())
             names.write(np.asarray(batch.column(0).fill_null(NO_ID), "<i8").tobytes())
-            for a in range(0, batch.num_rows, 256):
-                out = use(batch.column(1).slice(a, 256).to_pylist(), end)
-                ends = at + np.cumsum([len(x) // 4 for x in out], dtype="<u8")
+            for _, data, off in slices(batch.column(1), 3 << 20):
+                got, lengths = use(data, off, end_id)
+                ends = at + np.cumsum(lengths)
                 at = int(ends[-1])
-                ids.write(b"".join(out))
+                ids.write(got.tobytes())
                 offsets.write(ends.astype("<u8").tobytes())
             n += batch.num_rows
         if stem is not None:
@@ -188,7 +221,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
         shards.append({"stem": r.stem, "base": base, "n_docs": r.n_docs, "n_ids": r.n_ids})
         base += r.n_ids
     with sink(f"{folder}/index.json") as f:
-        f.write(json.dumps({"ids": "<u4", "offsets": "<u8", "end_id": end_id, "n_ids": base, "shards": shards}).encode())
+        f.write(json.dumps({"ids": kind, "offsets": "<u8", "end_id": end_id, "n_ids": base, "shards": shards}).encode())
 
 
 def read_index(folder: str) -> dict:
@@ -197,12 +230,13 @@ def read_index(folder: str) -> dict:
 
 def read_ids(spark: SparkSession, folder: str, schema: str, each: Callable[[np.ndarray], dict]) -> DataFrame:
     """A row for each document of a written corpus: doc_id, start, n_tokens and what each() makes of its ids."""
-    shards = [(x["stem"], x["base"]) for x in read_index(folder)["shards"]]
+    index = read_index(folder)
+    shards, width = [(x["stem"], x["base"]) for x in index["shards"]], index["ids"]
     names = [x.split()[0] for x in schema.split(",")]
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for stem, base in (x for f in frames for x in f.itertuples(index=False)):
-            ids, off, doc = (mapped(f"{folder}/{stem}.{x}", kind) for x, kind in (("ids", "<u4"), ("off", "<u8"), ("doc", "<i8")))
+            ids, off, doc = (mapped(f"{folder}/{stem}.{x}", kind) for x, kind in (("ids", width), ("off", "<u8"), ("doc", "<i8")))
             for a in range(0, len(doc), 10_000):
                 o = off[a : a + 10_001].astype(np.int64)
                 d = pd.Series(doc[a : a + 10_000], dtype="Int64")

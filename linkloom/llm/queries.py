@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import chat, decontamination, langid, mixing, secrets, tokenids, toxicity
+from linkloom.llm import chat, decontamination, jaccard, langid, mixing, secrets, tokenids, toxicity
 from linkloom.llm.common import Workspace
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -33,6 +33,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         return chat.digests(ws.keep(chat.format_chats(rows.unionByName(probe)), "formatted"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -61,6 +65,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_chat_format": op2_chat_format,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_secret_scan": op4_secret_scan,
     "op5_toxicity": op5_toxicity,
     "op7_mix_sources": op7_mix_sources,

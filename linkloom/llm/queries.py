@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import chat, decontamination, jaccard, langid, mixing, secrets, tokenids, toxicity
+from linkloom.llm import chat, decontamination, jaccard, langid, mixing, neardup, secrets, tokenids, toxicity
 from linkloom.llm.common import Workspace
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -53,6 +53,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEIGHTS = {"d0": (0.4, {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}), "d1": (0.3, {"en": 0.4, "*": 0.2}), "d2": 0.2, "d3": 0.1}
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.join(table(spark, sf_dir, "embeddings"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mix_sources(docs, WEIGHTS, seed=7, max_epochs=2).select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_epoch")
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_secret_scan": op4_secret_scan,
     "op5_toxicity": op5_toxicity,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,

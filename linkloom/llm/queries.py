@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import chat, decontamination, jaccard, langid, mixing, neardup, secrets, tokenids, toxicity
+from linkloom.llm import chat, decontamination, jaccard, langid, mixing, neardup, repeats, secrets, tokenids, toxicity
 from linkloom.llm.common import Workspace
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -49,6 +49,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 #: The tokens of the input, by domain, then language; sources of a language alike. A text is taken twice at most.
 WEIGHTS = {"d0": (0.4, {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}), "d1": (0.3, {"en": 0.4, "*": 0.2}), "d2": 0.2, "d3": 0.1}
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mix_sources": op7_mix_sources,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 OP2_SQL = """

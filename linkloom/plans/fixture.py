@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.operators import records as rec
+from linkloom.sources.tables import cut
 
 JOBS = ["Cultivateur / Pasteur", "Commerçant", "Elève", "Enfant", "Inconnu", "Zork", "Infirmière", "Taxi moto"]
 
@@ -41,4 +42,5 @@ def tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rec.export(*tables(spark, sf_dir))
+    """Written once to the shared folder: both sides of every join read it."""
+    return cut(rec.export(*tables(spark, sf_dir)))

@@ -95,7 +95,7 @@ def vocabulary_shape(spark, d):
 _SNAP = "SELECT name_tokens[1] AS v FROM clean WHERE len(name_tokens) > 0"
 
 
-@query(o.sql(f"""SELECT "from", "to", round(sim, 9) AS sim FROM (SELECT a.v AS "from", b.v AS "to", {o.jw('a.v', 'b.v')} AS sim, row_number() OVER (PARTITION BY a.v ORDER BY round({o.jw('a.v', 'b.v')}, 12) DESC, b.v) AS k FROM counts a, counts b WHERE a.n < 0.01 * total AND b.n >= 0.01 * total) WHERE k = 1 AND sim >= 0.9 - 1e-12""", o.FIXTURE, o.CLEAN, f"counts AS (SELECT v, count(*) AS n, (SELECT count(*) FROM ({_SNAP})) AS total FROM ({_SNAP}) GROUP BY v)"))
+@query(o.sql(f"""SELECT "from", "to", round(sim, 9) AS sim FROM (SELECT a.v AS "from", b.v AS "to", {o.jw('a.v', 'b.v')} AS sim, row_number() OVER (PARTITION BY a.v ORDER BY round({o.jw('a.v', 'b.v')}, 12) DESC, b.v) AS k FROM counts a, counts b WHERE a.n < 0.01 * a.total AND b.n >= 0.01 * a.total) WHERE k = 1 AND sim >= 0.9 - 1e-12""", o.FIXTURE, o.CLEAN, f"counts AS (SELECT v, count(*) AS n, (SELECT count(*) FROM ({_SNAP})) AS total FROM ({_SNAP}) GROUP BY v)"))
 def snap_rare(spark, d):
     v = fixture.clean(spark, d).select(F.get("name_tokens", F.lit(0)).alias("v"))
     return vocab.snap_map(v, "v").withColumn("sim", F.round("sim", 9))
@@ -226,7 +226,7 @@ def pattern_counts(spark, d):
 def em_parameters(spark, d):
     """Fitted without a reference; held against simulated patterns in the tests."""
     r = fixture.records(spark, d).persist()
-    model, _ = training.train(r, cmp.default(), n_matches=30.0)
+    model, _ = training.train(r, cmp.default(), n_matches=30.0, max_pairs=4000.0)
     r.unpersist()
     return model.table(spark)
 

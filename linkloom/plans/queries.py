@@ -13,6 +13,7 @@ from linkloom.operators import comparisons as cmp
 from linkloom.operators.model import LinkModel
 from linkloom.plans import fixture
 from linkloom.plans import oracle as o
+from linkloom.sources.tables import cut
 
 PRIOR = 1e-3
 FUTURE = evaluation.Future(3e4, 1500.0, 150.0)
@@ -242,7 +243,7 @@ def predicted(spark, d):
 
 def scores_of(spark, d):
     s = assignment.oriented(scoring.predictions(predicted(spark, d)), LinkModel.published(PRIOR).prior_bits)
-    return s.withColumn("score", F.round("score", 6))
+    return cut(s.withColumn("score", F.round("score", 6)))
 
 
 @query(o.sql("SELECT id_l, id_r, round(match_weight, 6) AS match_weight, round(match_probability, 6) AS match_probability, gamma_name, gamma_age, gamma_sex, gamma_geo, gamma_job, gamma_phone, round(bf_tf_adj_geo, 6) AS bf_tf_adj_geo FROM predicted", *SCORED))

@@ -98,7 +98,7 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
         rank = held.value
         seen: set[bytes] = set()
         for batch in batches:
-            for _, data, off in slices(batch.column(0), 4 << 20):
+            for _, data, off in slices(batch.column(0)):
                 key, sig, size = [], [], []
                 for s in shingle_rows(data, off, k):
                     if not len(s):
@@ -149,7 +149,7 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
 def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
     """Candidate pairs (a, b) of index rows key, node, n_low, n_high, left (the most that may follow the key).
 
-    pivots: only long lists, each node with the list's first. Otherwise all pairs that skipping leaves.
+    pivots: only long lists, each node with the list's least. Otherwise all pairs that skipping leaves.
     """
     spark = index.sparkSession
 
@@ -166,9 +166,10 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
         mark = np.repeat(begin, length)
         found: list[np.ndarray] = []
         if pivots:
-            pivot = np.repeat(begin + length // 2, length)
-            x = np.flatnonzero((np.repeat(length, length) > LONG) & (pivot != np.arange(len(key))))
-            found.append(np.stack([pivot[x], x]))
+            # The list's least node, so that a family's lists mostly have the same pivot.
+            least = np.repeat(np.minimum.reduceat(node, begin), length)
+            x = np.flatnonzero((np.repeat(length, length) > LONG) & (least != node))
+            pairs = np.unique(np.stack([least[x], node[x]], 1), axis=0)
         else:
             # The j-th neighbour in size order; a list ends, or a block of it is skipped, when no entry is near enough.
             live, j = np.flatnonzero(np.arange(len(key)) > mark), 1
@@ -179,9 +180,9 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
                 found.append(np.stack([other[hit], live[hit]]))
                 live, j = live[near], j + 1
                 live = live[live - j >= mark[live]]
-        a, b = np.concatenate(found, axis=1)
-        a, b = node[a], node[b]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
+            a, b = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+            a, b = node[a], node[b]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
         for i in range(0, len(pairs), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[i : i + 100_000, c]) for c in (0, 1)], names=["a", "b"])
 
@@ -189,9 +190,10 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node and set (sorted hashes) of the wanted classes (doc_id, sig, node), read again from the texts.
+    """sig and set (sorted hashes) of the wanted classes (doc_id), read again from the texts, without a shuffle.
 
-    A filter of fixed size, broadcast, keeps most other documents from being cut into shingles; the join is exact.
+    A filter of fixed size, broadcast, keeps most other documents from being cut into shingles; a few pass, and what
+    joins the result by sig leaves them out.
     """
     spark = docs.sparkSession
     bits = np.zeros(1 << 23, np.uint8)  # at most 2^26 bits
@@ -213,29 +215,21 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             h = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((held.value[h >> 3] >> (7 - (h & 7))) & 1 == 1))
-            for a, data, off in slices(batch.column(1)):
-                got = [s.tobytes() for s in shingle_rows(data, off, k)]
-                sig = [hashlib.blake2b(s, digest_size=16).digest() for s in got]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(got)), pa.array(sig, pa.binary()), pa.array(got, pa.binary())], names=["doc_id", "sig", "set"])
-
-    rows = docs.select("doc_id", "text", (F.xxhash64("doc_id").bitwiseAND((1 << 26) - 1)).cast("int").alias("h")).where("doc_id is not null").mapInArrow(run, "doc_id long, sig binary, set binary")
-    return rows.join(wanted.select("doc_id", "sig", "node"), ["doc_id", "sig"]).select("node", "set").dropDuplicates(["node"])
+            for _, data, off in slices(batch.column(1)):
+                got = list(shingle_rows(data, off, k))
+                sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in got]
+                yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.array([s.view(np.int64) for s in got], pa.list_(pa.int64()))], names=["sig", "set"])
 
+    rows = docs.select("doc_id", "text", (F.xxhash64("doc_id").bitwiseAND((1 << 26) - 1)).cast("int").alias("h")).where("doc_id is not null")
+    return rows.mapInArrow(run, "sig binary, set array<bigint>")
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, and the sizes of their intersection (same) and union (all)."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same, every = [], []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                z = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
-                same.append(int((z[1:] == z[:-1]).sum()))
-                every.append(len(z) - same[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.int64()), pa.array(every, pa.int64())], names=["a", "b", "same", "all"])
-
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long, same long, all long")
+def distances(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, and the sizes of their intersection (same) and union (all). classes: node, sig; sets: sig, set."""
+    named = pairs.join(classes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+    both = named.join(sets.select(F.col("sig").alias("sig_a"), F.col("set").alias("set_a")), "sig_a").join(sets.select(F.col("sig").alias("sig_b"), F.col("set").alias("set_b")), "sig_b")
+    same = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+    return both.select("a", "b", same.alias("same"), (F.size("set_a") + F.size("set_b")).alias("both")).select("a", "b", "same", (F.col("both") - F.col("same")).alias("all"))
 
 
 def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -251,27 +245,33 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
         classes = rows.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
         classes = ws.save(classes.select("sig", "doc_id", F.monotonically_increasing_id().alias("node")), "classes")
         index = ws.save(shared_prefixes(docs.where("doc_id is not null"), rank, k, num, den), "index", tidy=True)
-        index = ws.save(index.join(classes, "sig").select("key", "node", "sig", "doc_id", "n", (F.col("n") - F.col("pos") - 1).alias("left")), "lists")
-        wanted = index.select("sig", "node", "doc_id").distinct()
-        sets = ws.save(sets_of(docs, wanted, k), "sets", tidy=True)
+        index = ws.save(index.join(classes, "sig").select("key", "node", "n", (F.col("n") - F.col("pos") - 1).alias("left")), "lists")
+
+        def sets_for(pairs: DataFrame, name: str) -> DataFrame:
+            nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            return ws.save(sets_of(docs, nodes.join(classes, "node"), k), name, tidy=True)
+
         single = index.select("key", "node", F.col("n").alias("n_low"), F.col("n").alias("n_high"), "left")
         # Families.
-        near = ws.save(distances(in_lists(single, num, den, True), sets).where(linked), "near", tidy=True)
+        pivots = ws.save(in_lists(single, num, den, True), "pivots", tidy=True)
+        early = sets_for(pivots, "early")
+        near = ws.save(distances(pivots, classes, early).where(linked), "near", tidy=True)
         family = components(ws, near)
         family = family.where("node <> component")
-        reach = ws.save(distances(family.select(F.col("component").alias("a"), F.col("node").alias("b")), sets).select(F.col("b").alias("node"), F.col("a").alias("leader"), (1 - F.col("same") / F.col("all")).alias("d")), "reach", tidy=True)
+        reach = ws.save(distances(family.select(F.col("component").alias("a"), F.col("node").alias("b")), classes, early).select(F.col("b").alias("node"), F.col("a").alias("leader"), (1 - F.col("same") / F.col("all")).alias("d")), "reach", tidy=True)
         radius = reach.groupBy("leader").agg(F.max("d").alias("r"))
         led = single.join(reach, "node", "left").select("key", F.coalesce("leader", "node").alias("node"), "n_low", "n_high", "left")
         led = led.groupBy("key", "node").agg(F.min("n_low").alias("n_low"), F.max("n_high").alias("n_high"), F.max("left").alias("left"))
         pairs = ws.save(in_lists(led, num, den, False), "pairs", tidy=True)
-        told = ws.save(distances(pairs, sets), "told", tidy=True)
+        late = sets_for(pairs, "late")
+        told = ws.save(distances(pairs, classes, late), "told", tidy=True)
         links = told.where(linked).select("a", "b")
         r = lambda c: radius.select(F.col("leader").alias(c), F.col("r").alias(f"r_{c}"))
         open_ = told.where(~linked).withColumn("d", 1 - F.col("same") / F.col("all")).join(r("a"), "a", "left").join(r("b"), "b", "left").fillna(0.0, ["r_a", "r_b"]).where(f"d <= {bound} + r_a + r_b + 1e-9 and r_a + r_b > 0")
         members = reach.select("leader", "node", "d").union(radius.select("leader", F.col("leader").alias("node"), F.lit(0.0)))
         m = lambda c: members.select(F.col("leader").alias(c), F.col("node").alias(f"m_{c}"), F.col("d").alias(f"d_{c}"))
         open_ = open_.join(m("a"), "a", "left").join(m("b"), "b", "left").select("d", F.coalesce("m_a", "a").alias("x"), F.coalesce("d_a", F.lit(0.0)).alias("d_x"), F.coalesce("m_b", "b").alias("y"), F.coalesce("d_b", F.lit(0.0)).alias("d_y")).where(f"d <= {bound} + d_x + d_y + 1e-9")
-        more = ws.save(distances(open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets).where(linked).select("a", "b"), "more", tidy=True)
+        more = ws.save(distances(open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), classes, early.union(late)).where(linked).select("a", "b"), "more", tidy=True)
         inner = components(ws, links.union(more).union(near.select("a", "b")))
         least = classes.join(inner, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
         named = classes.join(inner.join(least, "component"), "node", "left").select("sig", F.coalesce("component_id", "doc_id").alias("component_id"))

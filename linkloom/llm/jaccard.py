@@ -9,11 +9,12 @@ A document's set is its distinct k-word shingles, as 64-bit hashes. Two document
    ``n - ceil(num * n / den) + 1`` shingles. The prefixes make the index; lists with a single class are left at once.
 3. Skipping in lists. A list is ordered by set size and kept in blocks, so whole blocks outside the size bound are skipped;
    of the rest, pairs are skipped by position, where what follows the shared shingle is too short for the overlap needed.
-   Before the other lists are read, each long list compares its sets with one pivot. Sets that link so form families, and
-   for each the distance to the family's leader is known. From then on families stand for their sets: two families are
-   compared by their leaders, whose answer settles all pairs of members by the triangle inequality of the Jaccard
-   distance (linked leaders join the families; leaders farther than the bound plus both radii rule out every pair); only
-   pairs that this leaves open are compared themselves. No list is ever expanded into all pairs of a family's members.
+   Before the other lists are read, each long list compares its sets with one pivot, the set with the fewest rarer
+   shingles. Sets that link so form families, and for each the distance to the family's leader is known. From then on
+   families stand for their sets: two families are compared by their leaders, whose answer settles all pairs of members
+   by the triangle inequality of the Jaccard distance (linked leaders join the families; leaders farther than the bound
+   plus both radii rule out every pair). What this leaves open goes back to the lists: members are compared where a list
+   makes just these two candidates and their distances to the leaders do not rule the pair out.
 4. Candidates are verified on the sets; links make components, found by distributed star contraction.
 
 Empty or null texts: no shingles, linked with nothing, a component of their own. Fewer than k words: the whole sequence is
@@ -38,6 +39,8 @@ from linkloom.llm.textarrays import mix, shingle_rows, slices
 CELLS, BLOCK = 1 << 22, 1 << 16
 #: Lists longer than this are first compared with a pivot.
 LONG = 16
+#: Pairs that a task gathers before it drops repeated ones and hands them on.
+PAIRS = 1 << 20
 
 
 def overlap_needed(a, b, num: int, den: int):
@@ -125,15 +128,18 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
                 yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array([c[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()) for c in columns]], names=["part", "key", "sig", "n", "pos"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[], [], [], []]
+        held: list[list[bytes]] = [[], [], [], []]
         for batch in batches:
             for into, col in zip(held, batch.columns[1:], strict=True):
                 into += col.to_pylist()
         if not held[0]:
             return
         key, sig, n, pos = (np.frombuffer(b"".join(x), t) for x, t in zip(held, kinds, strict=True))
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        high, low = sig.view(np.uint64).reshape(-1, 2).T
+        order = np.lexsort((pos, low, high, key))
+        key, high, low = key[order], high[order], low[order]
+        once = np.append(True, (key[1:] != key[:-1]) | (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+        key, order = key[once], order[once]
         same = key[1:] == key[:-1]
         more = np.append(False, same) | np.append(same, False)
         key, at = key[more], order[more]
@@ -143,13 +149,13 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
             yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(sig[s]), [None, pa.py_buffer(sig[s].tobytes())]).cast(pa.binary()), pa.array(n[s].astype(np.int32)), pa.array(pos[s].astype(np.int32))], names=["key", "sig", "n", "pos"])
 
     rows = docs.select("text").mapInArrow(prefixes, "part long, key binary, sig binary, n binary, pos binary")
-    return rows.repartition(parts, "part").mapInArrow(shared, "key long, sig binary, n int, pos int").dropDuplicates(["key", "sig"])
+    return rows.repartition(parts, "part").mapInArrow(shared, "key long, sig binary, n int, pos int")
 
 
 def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
     """Candidate pairs (a, b) of index rows key, node, n_low, n_high, left (the most that may follow the key).
 
-    pivots: only long lists, each node with the list's least. Otherwise all pairs that skipping leaves.
+    pivots: only long lists, each node with the list's pivot. Otherwise all pairs that skipping leaves.
     """
     spark = index.sparkSession
 
@@ -161,49 +167,63 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
         order = np.lexsort((high, key))
         key, node, low, high, left = (x[order] for x in (key, node, low, high, left))
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        end = np.append(begin[1:], len(key))
-        length = end - begin
+        length = np.diff(np.append(begin, len(key)))
         mark = np.repeat(begin, length)
-        found: list[np.ndarray] = []
+
+        def hits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Which entries may link by position."""
+            return 1 + np.minimum(left[a], left[b]) >= overlap_needed(low[a], low[b], num, den)
+
+        def batch(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+            a, b = node[a], node[b]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
+            for i in range(0, len(pairs), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[i : i + 100_000, c]) for c in (0, 1)], names=["a", "b"])
+
         if pivots:
-            # The list's least node, so that a family's lists mostly have the same pivot.
-            least = np.repeat(np.minimum.reduceat(node, begin), length)
-            x = np.flatnonzero((np.repeat(length, length) > LONG) & (least != node))
-            pairs = np.unique(np.stack([least[x], node[x]], 1), axis=0)
+            # The set with the fewest rarer shingles: of edited copies the least edited one, in most lists of a family.
+            first = np.repeat(np.lexsort((node, high - left, key))[begin], length)
+            x = np.flatnonzero((np.repeat(length, length) > LONG) & (node[first] != node))
+            small, large = np.minimum(first[x], x), np.maximum(first[x], x)
+            hit = (den * high[small] >= num * low[large]) & hits(small, large)
+            yield from batch(small[hit], large[hit])
         else:
             # The j-th neighbour in size order; a list ends, or a block of it is skipped, when no entry is near enough.
             live, j = np.flatnonzero(np.arange(len(key)) > mark), 1
+            found, held = [], 0
             while len(live):
                 other = live - j
                 near = den * high[other] >= num * low[live]
-                hit = near & (1 + np.minimum(left[live], left[other]) >= overlap_needed(low[live], low[other], num, den))
+                hit = near & hits(live, other)
                 found.append(np.stack([other[hit], live[hit]]))
+                held += found[-1].shape[1]
+                if held > PAIRS:
+                    yield from batch(*np.concatenate(found, axis=1))
+                    found, held = [], 0
                 live, j = live[near], j + 1
                 live = live[live - j >= mark[live]]
-            a, b = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
-            a, b = node[a], node[b]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
-        for i in range(0, len(pairs), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[i : i + 100_000, c]) for c in (0, 1)], names=["a", "b"])
+            if found:
+                yield from batch(*np.concatenate(found, axis=1))
 
     return index.select("key", "node", "n_low", "n_high", "left").repartition(shuffle_parts(spark), "key").mapInArrow(run, "a long, b long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """sig and set (sorted hashes) of the wanted classes (doc_id), read again from the texts, without a shuffle.
+    """sig, doc_id and set (sorted hashes) of the wanted classes (doc_id), read again from the texts, without a shuffle.
 
     A filter of fixed size, broadcast, keeps most other documents from being cut into shingles; a few pass, and what
-    joins the result by sig leaves them out.
+    joins the result by sig and doc_id leaves them out.
     """
     spark = docs.sparkSession
     bits = np.zeros(1 << 23, np.uint8)  # at most 2^26 bits
     marks = wanted.select((F.xxhash64("doc_id").bitwiseAND((1 << 26) - 1)).cast("int").alias("h")).distinct()
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << 26, bool)
+        own = np.zeros(1 << 23, np.uint8)
         for batch in batches:
-            own[batch.column(0).to_numpy()] = True
-        packed = np.packbits(own).reshape(64, -1)
+            h = batch.column(0).to_numpy()
+            np.bitwise_or.at(own, h >> 3, (128 >> (h & 7)).astype(np.uint8))
+        packed = own.reshape(64, -1)
         some = np.flatnonzero(packed.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([packed[i].tobytes() for i in some], pa.binary())], names=["i", "bits"])
 
@@ -215,19 +235,24 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             h = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((held.value[h >> 3] >> (7 - (h & 7))) & 1 == 1))
+            at = 0
             for _, data, off in slices(batch.column(1)):
                 got = list(shingle_rows(data, off, k))
+                ids, at = batch.column(0).slice(at, len(got)), at + len(got)
                 sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in got]
-                yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.array([s.view(np.int64) for s in got], pa.list_(pa.int64()))], names=["sig", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), ids, pa.array([s.view(np.int64) for s in got], pa.list_(pa.int64()))], names=["sig", "doc_id", "set"])
 
     rows = docs.select("doc_id", "text", (F.xxhash64("doc_id").bitwiseAND((1 << 26) - 1)).cast("int").alias("h")).where("doc_id is not null")
-    return rows.mapInArrow(run, "sig binary, set array<bigint>")
+    return rows.mapInArrow(run, "sig binary, doc_id long, set array<bigint>")
 
 
 def distances(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, and the sizes of their intersection (same) and union (all). classes: node, sig; sets: sig, set."""
-    named = pairs.join(classes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a").join(classes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-    both = named.join(sets.select(F.col("sig").alias("sig_a"), F.col("set").alias("set_a")), "sig_a").join(sets.select(F.col("sig").alias("sig_b"), F.col("set").alias("set_b")), "sig_b")
+    """a, b, and the sizes of their intersection (same) and union (all). classes: node, sig, doc_id; sets: sig, doc_id, set."""
+    both = pairs.select("a", "b")
+    for c in ("a", "b"):
+        both = both.join(classes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("doc_id").alias(f"doc_{c}")), c)
+    for c in ("a", "b"):
+        both = both.join(sets.select(F.col("sig").alias(f"sig_{c}"), F.col("doc_id").alias(f"doc_{c}"), F.col("set").alias(f"set_{c}")), [f"sig_{c}", f"doc_{c}"])
     same = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     return both.select("a", "b", same.alias("same"), (F.size("set_a") + F.size("set_b")).alias("both")).select("a", "b", "same", (F.col("both") - F.col("same")).alias("all"))
 
@@ -255,23 +280,43 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
         # Families.
         pivots = ws.save(in_lists(single, num, den, True), "pivots", tidy=True)
         early = sets_for(pivots, "early")
-        near = ws.save(distances(pivots, classes, early).where(linked), "near", tidy=True)
-        family = components(ws, near)
-        family = family.where("node <> component")
-        reach = ws.save(distances(family.select(F.col("component").alias("a"), F.col("node").alias("b")), classes, early).select(F.col("b").alias("node"), F.col("a").alias("leader"), (1 - F.col("same") / F.col("all")).alias("d")), "reach", tidy=True)
+        met = ws.save(distances(pivots, classes, early), "met", tidy=True)
+        near = met.where(linked)
+        # A family's leader is its set with the most links, mostly one pivot; the distances to it are mostly known.
+        ends = near.select(F.col("a").alias("node")).union(near.select("b")).groupBy("node").agg(F.count("*").alias("links"))
+        family = components(ws, near).join(ends, "node")
+        leader = family.groupBy("component").agg(F.max(F.struct("links", -F.col("node"))).alias("most")).select("component", (-F.col("most.col2")).alias("leader"))
+        family = ws.save(family.join(leader, "component").where("node <> leader").select("node", "leader"), "family", tidy=True)
+        spans = family.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "node", "leader")
+        known = spans.join(met, ["a", "b"], "left")
+        far = distances(known.where("same is null").select("a", "b"), classes, early).join(spans, ["a", "b"])
+        span = (1 - F.col("same") / F.col("all")).alias("d")
+        reach = ws.save(known.where("same is not null").select("node", "leader", span).union(far.select("node", "leader", span)), "reach", tidy=True)
         radius = reach.groupBy("leader").agg(F.max("d").alias("r"))
         led = single.join(reach, "node", "left").select("key", F.coalesce("leader", "node").alias("node"), "n_low", "n_high", "left")
         led = led.groupBy("key", "node").agg(F.min("n_low").alias("n_low"), F.max("n_high").alias("n_high"), F.max("left").alias("left"))
         pairs = ws.save(in_lists(led, num, den, False), "pairs", tidy=True)
-        late = sets_for(pairs, "late")
-        told = ws.save(distances(pairs, classes, late), "told", tidy=True)
+        fresh = ws.save(pairs.join(met, ["a", "b"], "left_anti"), "fresh", tidy=True)
+        late = sets_for(fresh, "late")
+        told = ws.save(distances(fresh, classes, late).select("a", "b", "same", "all").union(met.join(pairs, ["a", "b"], "left_semi").select("a", "b", "same", "all")), "told", tidy=True)
         links = told.where(linked).select("a", "b")
         r = lambda c: radius.select(F.col("leader").alias(c), F.col("r").alias(f"r_{c}"))
         open_ = told.where(~linked).withColumn("d", 1 - F.col("same") / F.col("all")).join(r("a"), "a", "left").join(r("b"), "b", "left").fillna(0.0, ["r_a", "r_b"]).where(f"d <= {bound} + r_a + r_b + 1e-9 and r_a + r_b > 0")
+        open_ = ws.save(open_.select("a", "b", "d").distinct(), "open", tidy=True)
+        # Members of two families are compared if the lists themselves make them candidates and the leaders rule them not out.
+        ends = open_.select(F.col("a").alias("leader")).union(open_.select("b")).distinct()
         members = reach.select("leader", "node", "d").union(radius.select("leader", F.col("leader").alias("node"), F.lit(0.0)))
-        m = lambda c: members.select(F.col("leader").alias(c), F.col("node").alias(f"m_{c}"), F.col("d").alias(f"d_{c}"))
-        open_ = open_.join(m("a"), "a", "left").join(m("b"), "b", "left").select("d", F.coalesce("m_a", "a").alias("x"), F.coalesce("d_a", F.lit(0.0)).alias("d_x"), F.coalesce("m_b", "b").alias("y"), F.coalesce("d_b", F.lit(0.0)).alias("d_y")).where(f"d <= {bound} + d_x + d_y + 1e-9")
-        more = ws.save(distances(open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), classes, early.union(late)).where(linked).select("a", "b"), "more", tidy=True)
+        members = ws.save(ends.join(members, "leader", "left").select("leader", F.coalesce("node", "leader").alias("node"), F.coalesce("d", F.lit(0.0)).alias("d")), "members", tidy=True)
+        entries = ws.save(index.join(members, "node").select("leader", "key", "node", "n", "left", "d"), "entries", tidy=True)
+        many = members.groupBy("leader").agg(F.count("*").alias("many"))
+        open_ = open_.join(many.select(F.col("leader").alias("a"), F.col("many").alias("many_a")), "a").join(many.select(F.col("leader").alias("b"), F.col("many").alias("many_b")), "b")
+        fewer = F.col("many_a") <= F.col("many_b")
+        open_ = open_.select(F.when(fewer, F.col("a")).otherwise(F.col("b")).alias("leader_x"), F.when(fewer, F.col("b")).otherwise(F.col("a")).alias("leader_y"), F.col("d").alias("d"))
+        e = lambda c: entries.select(F.col("leader").alias(f"leader_{c}"), "key", F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("left").alias(f"left_{c}"), F.col("d").alias(f"d_{c}"))
+        ruled = f"d <= {bound} + d_x + d_y + 1e-9 and {den} * least(n_x, n_y) >= {num} * greatest(n_x, n_y) and (1 + least(left_x, left_y)) * {num + den} >= {num} * (n_x + n_y)"
+        meet = open_.join(e("x"), "leader_x").join(e("y"), ["leader_y", "key"]).where(ruled)
+        apart = ws.save(meet.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(told, ["a", "b"], "left_anti"), "apart", tidy=True)
+        more = ws.save(distances(apart, classes, early.union(late)).where(linked).select("a", "b"), "more", tidy=True)
         inner = components(ws, links.union(more).union(near.select("a", "b")))
         least = classes.join(inner, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
         named = classes.join(inner.join(least, "component"), "node", "left").select("sig", F.coalesce("component_id", "doc_id").alias("component_id"))

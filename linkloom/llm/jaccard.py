@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import Workspace, components, shuffle_parts
-from linkloom.llm.textarrays import mix, shingle_rows, slices
+from linkloom.llm.textarrays import frugal, mix, shingle_rows, slices
 
 #: Cells of the sketch; its blocks.
 CELLS, BLOCK = 1 << 22, 1 << 16
@@ -68,7 +68,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
         none = pa.nulls(len(blocks), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(blocks), pa.binary()), pa.array(blocks), pa.array([sketch[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in blocks], pa.binary())], names=["doc_id", "n", "sig", "block", "cells"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, block long, cells binary")
+    return docs.mapInArrow(frugal(run), "doc_id long, n long, sig binary, block long, cells binary")
 
 
 def levels(made: DataFrame) -> np.ndarray:
@@ -83,7 +83,7 @@ def levels(made: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"block": [b], "level": [np.minimum(255, 8 * np.log2(1 + c)).astype(np.uint8).tobytes()]})
 
     n = CELLS // BLOCK
-    got = made.where("block is not null").select("block", "cells").repartition(n, "block").mapInArrow(add, "block long, level binary")
+    got = made.where("block is not null").select("block", "cells").repartition(n, "block").mapInArrow(frugal(add), "block long, level binary")
     out = np.zeros(CELLS, np.uint8)
     for b, c in got.collect():  # a byte for each cell, whatever the input
         out[b * BLOCK : (b + 1) * BLOCK] = np.frombuffer(c, np.uint8)
@@ -148,8 +148,8 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
             s = slice(a, a + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(sig[s]), [None, pa.py_buffer(sig[s].tobytes())]).cast(pa.binary()), pa.array(n[s].astype(np.int32)), pa.array(pos[s].astype(np.int32))], names=["key", "sig", "n", "pos"])
 
-    rows = docs.select("text").mapInArrow(prefixes, "part long, key binary, sig binary, n binary, pos binary")
-    return rows.repartition(parts, "part").mapInArrow(shared, "key long, sig binary, n int, pos int")
+    rows = docs.select("text").mapInArrow(frugal(prefixes), "part long, key binary, sig binary, n binary, pos binary")
+    return rows.repartition(parts, "part").mapInArrow(frugal(shared), "key long, sig binary, n int, pos int")
 
 
 def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
@@ -205,7 +205,7 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
             if found:
                 yield from batch(*np.concatenate(found, axis=1))
 
-    return index.select("key", "node", "n_low", "n_high", "left").repartition(shuffle_parts(spark), "key").mapInArrow(run, "a long, b long").distinct()
+    return index.select("key", "node", "n_low", "n_high", "left").repartition(shuffle_parts(spark), "key").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -227,7 +227,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         some = np.flatnonzero(packed.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([packed[i].tobytes() for i in some], pa.binary())], names=["i", "bits"])
 
-    for i, x in marks.coalesce(4).mapInArrow(fold, "i long, bits binary").collect():
+    for i, x in marks.coalesce(4).mapInArrow(frugal(fold), "i long, bits binary").collect():
         bits.reshape(64, -1)[i] |= np.frombuffer(x, np.uint8)
     held = spark.sparkContext.broadcast(bits)
 
@@ -243,7 +243,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), ids, pa.array([s.view(np.int64) for s in got], pa.list_(pa.int64()))], names=["sig", "doc_id", "set"])
 
     rows = docs.select("doc_id", "text", (F.xxhash64("doc_id").bitwiseAND((1 << 26) - 1)).cast("int").alias("h")).where("doc_id is not null")
-    return rows.mapInArrow(run, "sig binary, doc_id long, set array<bigint>")
+    return rows.mapInArrow(frugal(run), "sig binary, doc_id long, set array<bigint>")
 
 
 def distances(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:

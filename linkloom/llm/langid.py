@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.llm.textarrays import frugal
+
 UND = "und"
 MOST_LANGUAGES = 512
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -84,7 +86,7 @@ def fit(docs: DataFrame, learn: Column, bits: int = 16, alpha: float = 0.5) -> M
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * (len(at) + 1), "bucket": np.append(at, -1), "n": np.append(c[at], docs_of[lang])})
 
-    sums = rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(frugal(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = sums.toArrow()  # languages x buckets at most
     names = got.column("lang").to_pylist()
     languages = sorted(set(names))
@@ -125,7 +127,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             name, prob = predict(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(prob, pa.float64())], names=[f.name for f in schema])
 
-    return docs.select(*keep, F.col("text").cast("string").alias("text_to_score")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").cast("string").alias("text_to_score")).mapInArrow(frugal(run), schema)
 
 
 def held_out(mod: int, rest: int) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,19 @@ BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after whose end a worker hands the memory that it no longer needs back to the system, as workers live on."""
+
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return task
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import clean_text, shared_dir, shuffle_parts
-from linkloom.llm.textarrays import prefix_hash, slices, span
+from linkloom.llm.textarrays import frugal, prefix_hash, slices, span
 
 NO_ID = np.iinfo(np.int64).min
 #: Parts of a generation whose ids a worker remembers.
@@ -215,7 +215,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
                 f.close()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "stem": [stem], "n_docs": [n], "n_ids": [at]})
 
-    made = rows.mapInArrow(encode, "shard long, stem string, n_docs long, n_ids long").collect()  # a row for each shard
+    made = rows.mapInArrow(frugal(encode), "shard long, stem string, n_docs long, n_ids long").collect()  # a row for each shard
     base, shards = 0, []
     for r in sorted(made):
         shards.append({"stem": r.stem, "base": base, "n_docs": r.n_docs, "n_ids": r.n_ids})
@@ -244,7 +244,7 @@ def read_ids(spark: SparkSession, folder: str, schema: str, each: Callable[[np.n
                 yield pd.DataFrame({"doc_id": d.mask(d == NO_ID), "start": base + o[:-1], "n_tokens": np.diff(o)} | {k: [x[k] for x in found] for k in names})
 
     table = spark.createDataFrame(spark.sparkContext.parallelize(shards, max(1, len(shards))), "stem string, base long")
-    return table.mapInPandas(read, f"doc_id long, start long, n_tokens long, {schema}")
+    return table.mapInPandas(frugal(read), f"doc_id long, start long, n_tokens long, {schema}")
 
 
 def new_folder(spark: SparkSession) -> str:

@@ -45,7 +45,7 @@ def txt(c: str, name: str | None = None):
 
 @query(o.sql(f"SELECT doc_id, {o.std('left(text, 200)')} AS std FROM documents", "none AS (SELECT 1)"))
 def std_text(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", text.std_text(F.expr("left(text, 200)")).alias("std"))
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", text.std_text(F.col("text")).alias("std"))
 
 
 @query(o.sql("SELECT row, array_to_string(name_tokens, '|') AS name_tokens, len(name_tokens)::BIGINT AS n, len(list_filter(name_tokens, lambda t: length(t) = 1))::BIGINT AS initials, nullif(array_to_string(list_sort(list_filter(name_tokens, lambda t: length(t) >= 2)), ' '), '') AS name_key FROM clean", o.FIXTURE, o.CLEAN))

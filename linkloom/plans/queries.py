@@ -165,7 +165,7 @@ def block_union(spark, d):
 
 @query(o.sql(f"SELECT a.t AS t, b.t AS s, round(jaro_similarity(a.t, b.t), 9) AS jaro, round({o.jw('a.t', 'b.t')}, 9) AS jw FROM v a, v b WHERE a.t < b.t", o.FIXTURE, o.CLEAN, "v AS (SELECT DISTINCT name_tokens[2] AS t FROM clean WHERE len(name_tokens) > 1 AND length(name_tokens[2]) >= 6)"))
 def jaro_winkler_pairs(spark, d):
-    v = fixture.clean(spark, d).select(F.get("name_tokens", F.lit(1)).alias("t")).where("length(t) >= 6").distinct()
+    v = fixture.clean(spark, d).select(F.explode("name_tokens").alias("t")).distinct()
     pairs = v.join(v.withColumnRenamed("t", "s"), F.col("t") < F.col("s"))
     return pairs.select("t", "s", F.round(similarity.jaro(F.col("t"), F.col("s")), 9).alias("jaro"), F.round(similarity.jaro_winkler(F.col("t"), F.col("s")), 9).alias("jw"))
 

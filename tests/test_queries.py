@@ -32,3 +32,16 @@ def test_std_text_repairs_the_tail(spark, tmp_path):
     df = spark.createDataFrame([(1, bytearray(raw))], "doc_id long, b binary").selectExpr("doc_id", "cast(b AS string) AS text")
     df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     assert queries.QUERIES["std_text"](spark, str(tmp_path)).head()["std"] == "A " * 150 + "CAFE END"
+
+
+def test_jaro_winkler_pairs_of_all_tokens(spark, tmp_path):
+    names = ["A AB BA MARTHA", "ABC ACB B DWAYNE", "MARHTA DUANE A AB", "DIXON ABCD BADC DICKSONX", ""]
+    docs = [(i, x + " more words", "en", "web", len(x)) for i, x in enumerate(names)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {(r.t, r.s): (r.jaro, r.jw) for r in queries.QUERIES["jaro_winkler_pairs"](spark, str(tmp_path)).collect()}
+    tokens = sorted({t for x in names for t in x.split()} | {"MORE", "WORDS"})
+    assert set(got) == {(a, b) for a in tokens for b in tokens if a < b}
+    con = duckdb.connect()
+    for (a, b), x in got.items():
+        assert x == con.execute(f"SELECT round(jaro_similarity($1, $2), 9), round({oracle.jw('$1', '$2')}, 9)", [a, b]).fetchone(), (a, b)

@@ -27,6 +27,7 @@ def level_counts(records: DataFrame, c: Comparison) -> DataFrame:
     right = right.select(*[F.col(x).alias(f"{x}_r") for x in c.inputs], F.col("w").alias("w_r"))
     if right.limit(100_001).count() <= 100_000:
         right = F.broadcast(right)
+    left = left.repartition(left.sparkSession.sparkContext.defaultParallelism)  # few bytes, but much work each
     pairs = left.crossJoin(right)  # of distinct values; the operator's meaning is all pairs
     return gammas(pairs, [c]).groupBy(F.col(f"gamma_{c.name}").alias("gamma")).agg(F.sum(F.col("w_l") * F.col("w_r")).alias("n"))
 

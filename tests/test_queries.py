@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from linkloom.plans import oracle, queries
+from linkloom.operators import comparisons as cmp
+from linkloom.operators import training
+from linkloom.plans import fixture, oracle, queries
 
 
 @pytest.fixture
@@ -45,3 +47,20 @@ def test_jaro_winkler_pairs_of_all_tokens(spark, tmp_path):
     con = duckdb.connect()
     for (a, b), x in got.items():
         assert x == con.execute(f"SELECT round(jaro_similarity($1, $2), 9), round({oracle.jw('$1', '$2')}, 9)", [a, b]).fetchone(), (a, b)
+
+
+def test_em_parameters_count_u_on_all_pairs(spark):
+    d = "/root/testdata/sf0.001"
+    rows = queries.QUERIES["em_parameters"](spark, d).collect()
+    r = fixture.records(spark, d).persist()
+    n = {x[0]: x[1] for x in r.groupBy("source_dataset").count().collect()}
+    total = n["d1"] * n["d2"]
+    for c in cmp.default():
+        counts = {x.gamma: x.n for x in training.level_counts(r, c).collect()}
+        assert sum(counts.values()) == total
+        seen = sum(k for g, k in counts.items() if g >= 0)
+        got = [x for x in rows if x.variable == c.name]
+        for i, x in enumerate(got):
+            share = max(counts.get(i, 0) / seen if seen else 0.0, 1 / total)
+            assert abs(x.u - max((share - 30 / total * x.m) / (1 - 30 / total), 1 / total)) < 1e-12, (c.name, x.level)
+    r.unpersist()

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import Workspace
 
-#: 1 counts, 0 is ignored. The ignored pairs lie two, four and five words apart, so words changed that far apart, over and over,
-#: still leave windows that match.
-MASKS = ("11101011", "01110111", "11011110")
+#: 1 counts, 0 is ignored. For each set of changed words that the verifier accepts, in an item of any length from SPAN on, a
+#: window of one of the masks ignores all the changed words within it; the tests go through all of them.
+MASKS = ("11010011", "10011101", "11111000", "01101110")
 SPAN = 8
 WINDOW, SLACK = 16, 5
 SHORTEST = 4
@@ -36,13 +36,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def windows(rows: DataFrame, key: str) -> DataFrame:
+def windows(rows: DataFrame, key: str, around: int = 0) -> DataFrame:
     """key, at (the window's first position), and a hash for each mask: s0, s1, ...
 
     rows: key, codes. Shifted copies of the codes are zipped, so a window is a row and its hashes are compiled code.
+    around: blank words before and behind, for items of which the document's edge cuts off as many words as may be changed.
     """
+    if around:
+        blank = F.array_repeat(F.lit(0).cast("long"), around)
+        rows = rows.withColumn("codes", F.concat(blank, "codes", blank))
     n = F.size("codes") - SPAN + 1
-    zipped = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *[F.slice("codes", i + 1, n).alias(f"c{i}") for i in range(SPAN)])
+    zipped = F.arrays_zip(F.sequence(F.lit(-around), n - 1 - around).alias("at"), *[F.slice("codes", i + 1, n).alias(f"c{i}") for i in range(SPAN)])
     cut = rows.where(F.size("codes") >= SPAN).select(key, F.inline(zipped))
     return cut.select(key, "at", *[F.xxhash64(F.lit(k), *[f"c{i}" for i, x in enumerate(m) if x == "1"]).alias(f"s{k}") for k, m in enumerate(MASKS)])
 
@@ -65,10 +69,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
     distinct = index.select("seed").distinct()
     seeds = F.broadcast(distinct) if index.count() < BROADCAST_HASHES else distinct
     texts = coded(docs, "doc_id", "doc_id")
-    found = one_by_one(windows(texts, "doc_id"), "doc_id").join(seeds, "seed")
+    found = one_by_one(windows(texts, "doc_id", WINDOW // SLACK), "doc_id").join(seeds, "seed")
     for k in lengths:
         n = F.size("codes") - k + 1
-        cut = texts.where(F.size("codes") >= k).select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), n), lambda i, k=k: F.slice("codes", i, k))).alias("at", "part"))
+        cut = texts.where(F.size("codes") >= k).select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), n), lambda i: F.slice("codes", i, k))).alias("at", "part"))  # noqa: B023  # a second argument would be the index
         found = found.unionByName(cut.select("doc_id", "at", F.expr("xxhash64(-1, part)").alias("seed")).join(seeds, "seed"))
     hits = ws.save(found.select("doc_id", "at", "seed"), "hits")
     pairs = hits.join(index.withColumnRenamed("at", "item_at"), "seed").select("doc_id", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()

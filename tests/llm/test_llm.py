@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import struct
@@ -204,6 +205,37 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs_of(spark, docs), bench.limit(0)).count() == 0
 
 
+def accepted(n):
+    """The sets of changed words of an item, or stretch, of n words that the verifier accepts."""
+    most = min(n, decontamination.WINDOW) // decontamination.SLACK
+    return [p for k in range(most + 1) for p in itertools.combinations(range(n), k)]
+
+
+@pytest.mark.parametrize("n", range(8, 18))
+def test_masks_reach_what_the_verifier_accepts(n):
+    zeros = [{i for i, x in enumerate(m) if x == "0"} for m in decontamination.MASKS]
+    span = decontamination.SPAN
+    stretch = min(n, decontamination.WINDOW)
+    missed = [p for p in accepted(stretch) if not any({x - w for x in p if w <= x < w + span} <= z for w in range(stretch - span + 1) for z in zeros)]
+    assert missed == []
+
+
+def test_decontamination_finds_changed_short_items(spark):
+    lengths = {8: accepted(8), 10: accepted(10), 16: [(1, 8, 9), (0, 1, 2)], 15: [(0, 1, 2), (6, 7, 8), (1, 7, 13)]}
+    bench = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in lengths]
+    docs, want = [], set()
+    for n, patterns in lengths.items():
+        for p in patterns:
+            w = [f"c{len(docs)}y{i}" if i in p else f"w{n}x{i}" for i in range(n)]
+            for t in (["so", "it", "goes"] + w + ["and", "so", "on"], w[len([i for i in p if i < len(p) and p[i] == i]) :]):
+                want.add((len(docs), n))
+                docs.append((len(docs), " ".join(t)))
+    docs += [(len(docs), "c0 c1 w8x2 w8x3 w8x4 w8x5 w8x6 w8x7"), (len(docs) + 1, " ".join(f"w8x{i}" for i in range(7))), (len(docs) + 2, " ".join(f"w16x{i}" for i in range(3, 16)))]
+    want |= {(len(docs) - 2, 8), (len(docs) - 1, 16)}
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs_of(spark, docs), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == want
+
+
 def test_suffix_order():
     for n in [*range(20), 200]:
         for k in (1, 2, 30):

@@ -17,9 +17,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out texts without a letter (null and empty ones too), for which no language can be told."""
+    """Leaves out texts without a letter (null and empty ones too), for which no language can be told; fills a null lang.
+
+    Where no row has a lang nothing is learned, and lang stays null.
+    """
     model = langid.fit(docs, F.col("doc_id").isNotNull())
-    return langid.score(docs, model, COLUMNS).where(F.col("lang_pred") != langid.UND).select(*COLUMNS)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    kept = langid.score(docs, model, COLUMNS).where(F.col("lang_pred") != langid.UND)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,3 +14,13 @@ def test_stages(spark):
             assert jaccard.join(docs).where("doc_id <> component_id").count() == 0
     n = docs.count()
     assert p.STAGES[-1][1](spark, docs, d).count() == n > 0
+
+
+def test_language_stage_fills_null_and_keeps_all_where_nothing_is_learned(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, "the dog and the cat", None), (4, "12 34", None), (5, None, "en")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(*r, "web", 1) for r in rows], schema)
+    got = {r.doc_id: r.lang for r in p.language(spark, docs, "").collect()}
+    assert got == {1: "en", 2: "fr", 3: "en"}
+    none = spark.createDataFrame([(i, t, None, "web", 1) for i, t, _ in rows], schema)
+    assert {r.doc_id: r.lang for r in p.language(spark, none, "").collect()} == {1: None, 2: None, 3: None}

@@ -20,6 +20,9 @@ A document's set is its distinct k-word shingles, as 64-bit hashes. Two document
 Empty or null texts: no shingles, linked with nothing, a component of their own. Fewer than k words: the whole sequence is
 the one shingle. Rows are what is linked: repeated rows are copies, and rows of one id with different texts are linked only
 if their texts are. A row with a null id is linked with nothing and its component is null. Other columns are ignored.
+
+The operator yields components and no links: pairs within a family are never compared, nor are members of linked families, so
+neither the links nor the number of a document's links can be had from it.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -31,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import clean_text, shared_dir, shuffle_parts
-from linkloom.llm.textarrays import frugal, prefix_hash, slices, span
+from linkloom.llm.textarrays import frugal, slices
 
 NO_ID = np.iinfo(np.int64).min
-#: Parts of a generation whose ids a worker remembers.
-REMEMBERED = 800_000
+#: Parts of a generation whose ids a worker remembers, and the bytes of the longest one remembered: about 200 bytes each.
+REMEMBERED, SHORT = 250_000, 64
 
 
 def is_local(url: str) -> bool:
@@ -83,21 +84,36 @@ _UNSURE = _WHITE | _table([0xC2, 0xE1, 0xE2, 0xE3])
 _PLAIN = ~_WHITE & (np.arange(256) < 128)
 
 
+def byte_alphabet() -> str:
+    """The character that a byte-level vocabulary writes for each byte: the printable ones of Latin-1 for themselves, the
+    others, in order, from U+0100 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return "".join(chr(b if b in plain else next(rest)) for b in range(256))
+
+
+_ALPHABET = byte_alphabet()
+
+
 class Encoder:
-    """Ids of texts by a vocabulary file of the tokenizers library with byte-level words.
+    """Ids of texts by a vocabulary file of the tokenizers library.
 
-    Such a vocabulary cuts a text into words before it merges, so texts can be cut wherever a word ends for certain: before
-    a blank that a non-blank follows, between an ASCII letter and a punctuation mark, and behind a lone line feed before an
-    ASCII letter. Parts are told apart by 64-bit hashes; the library encodes each new one, and a bounded memory (two
-    generations) keeps its ids. A text that holds a special token's string is one part.
+    A byte-level vocabulary (byte_level()) cuts a text into words before it merges, so texts can be cut wherever a word ends
+    for certain: before a blank that a non-blank follows, between an ASCII letter and a punctuation mark, and behind a lone
+    line feed before an ASCII letter. Parts are compared byte by byte (dictionary encoding), the library encodes each one that
+    is not remembered, and a memory of bounded size (two generations of REMEMBERED short parts) keeps its ids. A text that holds an
+    added token's string is one part. Any other vocabulary encodes whole texts.
     """
 
     def __init__(self, path: str, kind: str = "<u4"):
         from tokenizers import Tokenizer
 
         self.library, self.kind = Tokenizer.from_file(path), kind
-        self.known: dict[int, bytes] = {}
-        self.before: dict[int, bytes] = {}
+        self.parted = byte_level(json.loads(self.library.to_str()))
+        self.model = self.library.model
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.special = [x.content.encode() for x in self.library.get_added_tokens_decoder().values()]
         self.line = self.library.encode("\n", add_special_tokens=False).ids
 
@@ -105,10 +121,21 @@ class Encoder:
         return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, parts: list[bytes]) -> list[bytes]:
-        """Parts without white space but for a blank in front are encoded many to a text, a line for each."""
+        """Words of Latin letters, with or without a blank in front, go to the library's merges straight away, as they are one word
+        to the library too; other parts without white space are encoded many to a text, a line for each.
+        """
         out: list[bytes] = [b""] * len(parts)
-        text = [p.decode() for p in parts]
-        plain = [i for i, t in enumerate(text) if len(self.line) == 1 and len(t) < 1000 and (t[1:] or t).isprintable() and " " not in t[1:] and not t.isspace()]
+        raw, end = b"".join(parts), np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        direct = self.words(np.frombuffer(raw, np.uint8), end) if self.parted and parts else np.zeros(len(parts), bool)
+        written, tokenize, size = raw.decode("latin-1").translate(_ALPHABET), self.model.tokenize, np.dtype(self.kind).itemsize
+        some, at = np.flatnonzero(direct).tolist(), np.append(0, end)[:-1]
+        ids = [[x.id for x in tokenize(written[i:j])] for i, j in zip(at[direct].tolist(), end[direct].tolist(), strict=True)]
+        flat = np.fromiter(chain.from_iterable(ids), self.kind).tobytes()
+        to = (np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * size).tolist()
+        for i, x, y in zip(some, [0, *to], to, strict=False):
+            out[i] = flat[x:y]
+        text = {i: parts[i].decode() for i in np.flatnonzero(~direct).tolist()}
+        plain = [i for i, t in text.items() if self.parted and len(self.line) == 1 and len(t) < 1000 and (t[1:] or t).isprintable() and " " not in t[1:] and not t.isspace()]
         for a in range(0, len(plain), 2000):
             some = plain[a : a + 2000]
             ids = np.array(self.library.encode_batch_fast(["\n".join([text[i] for i in some])], add_special_tokens=False)[0].ids, self.kind)
@@ -117,15 +144,26 @@ class Encoder:
             for i, x in zip(some, got if len(got) == len(some) else self.alone([text[i] for i in some]), strict=True):
                 out[i] = x
         once = set(plain)
-        rest = [i for i in range(len(text)) if i not in once]
+        rest = [i for i in text if i not in once]
         for i, x in zip(rest, self.alone([text[i] for i in rest]), strict=True):
             out[i] = x
         return out
 
+    @staticmethod
+    def words(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which parts are letters of ASCII or Latin-1, a blank in front allowed, and not too long."""
+        begin = np.append(0, end[:-1])
+        lead = np.append(data, 0)[:-1] == 0xC3
+        letter = _LETTER[data] | lead
+        letter[1:] |= lead[:-1] & (data[1:] != 0x97) & (data[1:] != 0xB7)  # the signs of multiplication and division
+        blank = data[begin] == 32
+        letter[begin[blank]] = True
+        return np.logical_and.reduceat(letter, begin) & (end - begin > blank) & (end - begin < 1000)
+
     def cuts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Where parts begin."""
         c = np.zeros(len(data) + 1, bool)
-        if len(data) > 2:
+        if len(data) > 2 and self.parted:
             c[:-2] = (data[:-1] == 32) & ~_UNSURE[data[1:]]
             c[off[1:-1] - 1] = False
             c[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
@@ -147,20 +185,20 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.before, self.known = self.known, {}
         at = self.cuts(data, off)
-        to = np.append(at[1:], len(data)) if len(at) else at
-        code, distinct = pd.factorize(span(prefix_hash(data), at, to))
-        first = np.zeros(len(distinct), np.int64)
-        first[code[::-1]] = np.arange(len(code))[::-1]
-        keys = distinct.tolist()
-        known, before = self.known, self.before
-        found = [known.get(k) or before.get(k) for k in keys]
-        new = [i for i, x in enumerate(found) if x is None]
-        raw = data.tobytes()
-        for i, x in zip(new, self.encode([raw[at[first[i]] : to[first[i]]] for i in new]), strict=True):
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)])
+        parts = parts.dictionary_encode()
+        code, keys = parts.indices.to_numpy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        before = self.before
+        found = list(map(self.known.get, keys))
+        lost = [i for i, x in enumerate(found) if x is None]
+        for i in lost:
+            found[i] = before.get(keys[i])
+        new = [i for i in lost if found[i] is None]
+        for i, x in zip(new, self.encode([keys[i] for i in new]), strict=True):
             found[i] = x
-        known.update((k, x) for k, x in zip(keys, found, strict=True) if len(x) < 100)
+        self.known.update((keys[i], found[i]) for i in lost if len(keys[i]) <= SHORT)
         flat = np.frombuffer(b"".join(found), self.kind)
-        size = np.array([len(x) for x in found], np.int64) // np.dtype(self.kind).itemsize
+        size = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.kind).itemsize
         begin = np.append(0, np.cumsum(size))[:-1]
         n = size[code]
         total = np.append(0, np.cumsum(n))
@@ -170,6 +208,13 @@ class Encoder:
         return out, per_text + 1
 
 
+def byte_level(spec: dict) -> bool:
+    """Whether a vocabulary (its JSON document) merges bytes within the words of the usual byte-level expression, and does nothing else."""
+    words, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = not (model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or spec.get("normalizer") or spec.get("truncation") or spec.get("padding"))
+    return plain and model.get("type") == "BPE" and words.get("type") == "ByteLevel" and words.get("use_regex") is True and not words.get("add_prefix_space")
+
+
 def id_type(vocabulary: str) -> str:
     """Two bytes where all ids fit, else four; little-endian."""
     from tokenizers import Tokenizer

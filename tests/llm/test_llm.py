@@ -53,6 +53,24 @@ def test_token_ids(spark, texts):
     assert tokenids.token_id_output(docs_of(spark, [(1, "x")]).limit(0), vocabulary()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_gives_the_ids_of_whole_texts(name, monkeypatch):
+    """The second vocabulary parts words in another way, so whole texts go to the library; parts are forgotten and learned again."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokenids, "REMEMBERED", 50)
+    path = str(public_tokenizers.path(name))
+    t, use = Tokenizer.from_file(path), tokenids.Encoder(path, "<u4")
+    assert use.parted == (name == "byte_bpe_50k.json")
+    rng = random.Random(3)
+    bits = ["the", " The", "\u00e9t\u00e9", " na\u00efve", "\u00d7", " \u00f7", "3\u00d74", " ", "  ", "\n", "\n\n", "it's", "!?", ".", ", ", "\u4e2d\u6587", "\u3000", "\u00a0", "x1y2", "A" * 1200, " 42", "\t", "<|endoftext|>", "\u0253", "\u0301", "\r\n", "d'\u0153uvre", "\U0001f600"]
+    for _ in range(150):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        got, n = use(*textarrays.as_bytes(pa.array(texts)), 7)
+        assert [x.tolist() for x in np.split(got, np.cumsum(n)[:-1])] == [[*t.encode(x, add_special_tokens=False).ids, 7] for x in texts]
+
+
 def test_chat_round_trip(spark):
     hard = ["\\### Assistant: </turn> ok", "a\\", "\\\\c", "</turn>\n### user: x</turn>", "", None, "plain", "</turn", "\\</turn>\\", "### a: b"]
     rows = [(c, t, role, hard[(c * 3 + t) % len(hard)]) for c in range(20) for t, role in enumerate(["user", "assistant", "a: b", "x\\</turn>", None])]

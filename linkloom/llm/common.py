@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +10,8 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where unset, one made for this session."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("linkloom.shared.dir", None)
-    if not known:
-        known = "file://" + tempfile.mkdtemp(prefix="linkloom-")
-        spark.conf.set("linkloom.shared.dir", known)
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where unset, one in the warehouse."""
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/linkloom"
     return known.rstrip("/")
 
 
@@ -30,44 +26,65 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Tables that results read, by application; forget() removes them.
+_kept: dict[str, list[str]] = {}
+
+
+def forget(spark: SparkSession) -> None:
+    """Removes the tables behind the results that operators have returned in this session; those can't be read any more."""
+    for path in _kept.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+
+
 class Workspace:
     """Intermediate tables of one operator call, written as Parquet to the shared folder.
 
-    A written table cuts lineage and survives lost executors. What keep() returned stays; the rest goes when the
-    block ends.
+    A written table cuts lineage and survives lost executors. What results read (keep(), spare()) stays until forget(); the
+    rest goes when the block ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self.paths: list[str] = []
+        self.made = 0
+        self.tables: list[tuple[DataFrame, str]] = []
 
     def __enter__(self) -> Workspace:
         return self
 
     def __exit__(self, *_: object) -> None:
-        for path in self.paths:
+        for _, path in self.tables:
             remove(self.spark, path)
         release(self.spark)
 
     def save(self, df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
         """tidy: ask for the cleaning of the shuffles that made the table."""
-        path = f"{self.root}/{name}-{len(self.paths)}"
+        path = f"{self.root}/{name}-{self.made}"
+        self.made += 1
         df.write.parquet(path)
-        self.paths.append(path)
         del df
         if tidy:
             release(self.spark)
-        return self.spark.read.parquet(path)
+        out = self.spark.read.parquet(path)
+        self.tables.append((out, path))
+        return out
+
+    def _forgotten(self, df: DataFrame) -> list[str]:
+        paths = [path for table, path in self.tables if table is df]
+        self.tables = [x for x in self.tables if x[0] is not df]
+        return paths
 
     def drop(self, df: DataFrame) -> None:
-        for path in {p for p in self.paths for f in df.inputFiles()[:1] if f"{p.rsplit('/', 1)[1]}/" in f}:
+        for path in self._forgotten(df):
             remove(self.spark, path)
-            self.paths.remove(path)
+
+    def spare(self, df: DataFrame) -> None:
+        """Keeps a saved table beyond the block."""
+        _kept.setdefault(self.spark.sparkContext.applicationId, []).extend(self._forgotten(df))
 
     def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        out = self.save(df, name)
+        self.spare(out)
+        return out
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -7,14 +7,14 @@ children's, so a shortage is met by siblings before ancestors share it out.
 
 Selection. A leaf with target t and s tokens gives whole epochs while they fit, then the longest prefix of one more epoch
 that stays within t. The order of an epoch is that of a hash of seed, epoch and doc_id (then of the text's hash; rows
-alike in all of these count as one step). Prefix sums are found in two levels: sums over ranges of the hash that hold
-about RANGE rows each, then row by row in the one range where a leaf's prefix ends. So no task orders a whole leaf, and
-no more than that range of each leaf is windowed.
+alike in all of these count as one step). Prefix sums are found in three levels: sums over ranges of the hash that hold
+about RANGE rows each; of the one range where a leaf's prefix ends, sums over its PARTS parts; and row by row in the one
+part where it ends. Sums are aggregates with partial sums, so no task orders more of a leaf than such a part.
 
 Weights: a nested mapping name -> weight or (weight, children); names without an entry take the weight of "*", or 1.
 Tokens are words parted by white space. A null language or source is a leaf of its own, named "". A leaf without tokens is
 kept once. A null text has no tokens; a null id hashes as null. Repeated rows are kept or left together. An empty table
-gives no rows. Columns clashing with an operator's own are not touched: it adds columns whose names begin with mix_.
+gives no rows. It adds columns whose names begin with mix_; columns of docs with such names are left out.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import Workspace
 
 KEYS = ["mix_domain", "mix_lang", "mix_source"]
-RANGE = 20_000
+RANGE, PARTS = 20_000, 128
 
 
 def domain_of(source: Column) -> Column:
@@ -94,6 +94,7 @@ def mix_sources(docs: DataFrame, tree: Mapping, budget: float | None = None, see
 
     Adds mix_domain, mix_lang, mix_source, mix_tokens and mix_epoch (from 0).
     """
+    docs = docs.drop(*[c for c in docs.columns if c.startswith("mix_")])
     with Workspace(docs.sparkSession, "mixing") as ws:
         lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source"))
         keyed = docs.withColumns({"mix_domain": domain if domain is not None else domain_of(source), "mix_lang": lang, "mix_source": source, "mix_tokens": F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("long")})
@@ -109,21 +110,28 @@ def mix_sources(docs: DataFrame, tree: Mapping, budget: float | None = None, see
         def placed(rows: DataFrame) -> DataFrame:
             """Where rows stand in their leaf's last, partial epoch."""
             h = F.xxhash64(F.lit(seed), "mix_whole", "doc_id")
-            return rows.withColumns({"mix_hash": h, "mix_text": F.xxhash64("text"), "mix_range": F.pmod(F.shiftrightunsigned(h, 33), F.lit(1 << 31)) * F.col("mix_ranges") / (1 << 31)}).withColumn("mix_range", F.floor("mix_range"))
+            fine = F.floor(F.pmod(F.shiftrightunsigned(h, 33), F.lit(1 << 31)) * F.col("mix_ranges") * PARTS / (1 << 31))
+            return rows.withColumns({"mix_hash": h, "mix_text": F.xxhash64("text"), "mix_part": fine.cast("long")})
+
+        def ending(rows: DataFrame, place: Column, room: str) -> DataFrame:
+            """KEYS, at, room: the place where the prefix of each leaf ends, and what is left of its room there."""
+            order = Window.partitionBy(*KEYS).orderBy("at")
+            sums = rows.groupBy(*KEYS, room, place.alias("at")).agg(F.sum("mix_tokens").alias("n")).withColumn("upto", F.sum("n").over(order))
+            ends = sums.where(f"upto - n <= {room} and upto > {room}").select(*KEYS, "at", (F.col(room) - F.col("upto") + F.col("n")).alias("room"))
+            return ends.groupBy(*KEYS).agg(F.min_by(F.struct("at", "room"), "at").alias("x")).select(*KEYS, "x.*")
 
         slim = keyed.select("doc_id", "text", *KEYS, "mix_tokens").join(plan.where("mix_rest > 0"), KEYS)
-        slim = ws.save(placed(slim).select(*KEYS, "mix_rest", "mix_range", "mix_hash", "mix_text", "mix_tokens", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("mix_id")), "places")
-        order = Window.partitionBy(*KEYS).orderBy("mix_range")
-        sums = slim.groupBy(*KEYS, "mix_rest", "mix_range").agg(F.sum("mix_tokens").alias("n")).withColumn("upto", F.sum("n").over(order))
-        ends = sums.where("upto - n <= mix_rest and upto > mix_rest").select(*KEYS, "mix_range", (F.col("mix_rest") - F.col("upto") + F.col("n")).alias("room"))
-        ends = ws.save(ends.groupBy(*KEYS).agg(F.min_by(F.struct("mix_range", "room"), "mix_range").alias("x")).select(*KEYS, "x.*"), "ends")
-        one = slim.join(ends, [*KEYS, "mix_range"]).withColumn("upto", F.sum("mix_tokens").over(Window.partitionBy(*KEYS).orderBy("mix_range", "mix_hash", "mix_id", "mix_text")))
+        slim = ws.save(placed(slim).select(*KEYS, "mix_rest", "mix_part", "mix_hash", "mix_text", "mix_tokens", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("mix_id")), "places")
+        ranges = ending(slim, F.floor(F.col("mix_part") / PARTS), "mix_rest")
+        own = slim.drop("mix_rest").withColumn("at", F.floor(F.col("mix_part") / PARTS)).join(ranges.withColumnRenamed("room", "mix_room"), [*KEYS, "at"])
+        ends = ws.save(ending(own.drop("at"), F.col("mix_part"), "mix_room").withColumnRenamed("at", "mix_part"), "ends")
+        one = slim.join(ends, [*KEYS, "mix_part"]).withColumn("upto", F.sum("mix_tokens").over(Window.partitionBy(*KEYS).orderBy("mix_hash", "mix_id", "mix_text")))
         last = one.where("upto <= room").groupBy(*KEYS).agg(F.max(F.struct("mix_hash", "mix_id", "mix_text")).alias("mix_last"))
-        cut = ws.save(plan.join(ends.select(*KEYS, F.col("mix_range").alias("mix_end")), KEYS, "left").join(last, KEYS, "left"), "cuts")
+        cut = ws.save(plan.join(ends.select(*KEYS, F.col("mix_part").alias("mix_end")), KEYS, "left").join(last, KEYS, "left"), "cuts")
         rows = placed(keyed.join(cut, KEYS))
         here = F.struct("mix_hash", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("mix_id"), "mix_text")
-        part = (F.col("mix_rest") > 0) & F.coalesce((F.col("mix_range") < F.col("mix_end")) | ((F.col("mix_range") == F.col("mix_end")) & (here <= F.col("mix_last"))), F.col("mix_end").isNull(), F.lit(False))
+        part = (F.col("mix_rest") > 0) & F.coalesce((F.col("mix_part") < F.col("mix_end")) | ((F.col("mix_part") == F.col("mix_end")) & (here <= F.col("mix_last"))), F.col("mix_end").isNull(), F.lit(False))
         times = F.col("mix_whole") + F.coalesce(part, F.lit(False)).cast("int")
         rows = rows.withColumn("mix_epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))))
-        ws.paths.pop()  # the result reads the cuts
+        ws.spare(cut)  # the result reads it
         return rows.select(*docs.columns, *KEYS, "mix_tokens", "mix_epoch")

@@ -98,17 +98,42 @@ def reach(dfa: Dfa, data: bytes, at: int, stop: int, step: int = 1) -> int:
     return found
 
 
+def reach_once(dfa: Dfa, data: bytes, at: int, failed: list) -> int:
+    """reach() onwards. failed: where the last run that failed began, and its states place by place; a run that comes to
+    the state of that one at the same place ends as it did, so a long stretch without a match is walked once, not from
+    every trigger in it.
+    """
+    s, found, first, states = dfa.start, -1, at, []
+    begin, known = failed
+    while at < len(data):
+        s = dfa.move[s + data[at]]
+        at += 1
+        if s >= dfa.first_accepting:
+            found = at
+        elif s == dfa.dead:
+            break
+        elif found < 0 and begin < at <= begin + len(known) and known[at - begin - 1] == s:
+            if first - begin > len(known) // 2:  # what lies before this run is needed no more
+                failed[:] = [first, states + known[at - begin - 1 :]]
+            return -1
+        states.append(s)
+    if found < 0:
+        failed[:] = [first, states]
+    return found
+
+
 def scan(data: bytes, x: Scanner) -> list[tuple[int, int, int]]:
     """Spans (start, rule, end) in bytes, in order."""
     move, first, s, out = x.all.move, x.all.first_accepting, x.all.start, []
     past = [0] * len(x.rules)
+    failed: list[list] = [[0, []] for _ in x.rules]
     for i, c in enumerate(data):
         s = move[s + c]
         if s >= first:
             for k in x.all.accepts[s >> 8]:
                 if i < past[k] or (start := reach(x.back[k], data, i + 1, past[k], -1)) < 0:
                     continue
-                if (end := reach(x.ahead[k], data, start, len(data))) < 0:
+                if (end := reach_once(x.ahead[k], data, start, failed[k])) < 0:
                     continue
                 past[k] = end
                 secret = reach(x.heads[k], data, start, end) if x.heads[k] else start

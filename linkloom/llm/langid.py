@@ -2,8 +2,9 @@
 
 Fitting counts, over every labelled row, how often each hashed n-gram (1 to 3 code points of the lower-cased text) stands
 in each language: tasks count in arrays and hand on a row for each language, bucket and task; Spark sums them. The
-matrix of log-probabilities (languages x buckets, a fixed number of buckets, at most MOST_LANGUAGES languages) goes to
-the driver and is broadcast; texts are scored in batches by looking up the matrix's columns in numpy.
+matrix of log-probabilities (languages x buckets, a fixed number of buckets) goes to the driver and is broadcast; texts are
+scored in batches by looking up the matrix's columns in numpy. Beyond TOGETHER languages the matrix is cut into parts by
+language, and texts pass one part after another with the best and the summed probability so far, which is exact too.
 
 Scoring: lang_pred is the most probable language (ties: first in alphabetical order) and score its posterior
 probability. A text that is null or has no letter, and every text if nothing was learned, is ``und`` with score 0.
@@ -13,29 +14,42 @@ held out and never learned from. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.llm.common import Workspace
 from linkloom.llm.textarrays import frugal
 
 UND = "und"
-MOST_LANGUAGES = 512
+#: Languages of a part of the matrix: 2^16 buckets of 8 bytes each.
+TOGETHER = 256
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 @dataclass(frozen=True)
-class Model:
+class Part:
     languages: list[str]
     #: buckets x languages
     log_prob: np.ndarray
     log_prior: np.ndarray
+
+
+@dataclass(frozen=True)
+class Model:
+    #: In alphabetical order of their languages.
+    parts: list[Part]
     bits: int
 
+    @property
+    def languages(self) -> list[str]:
+        return [x for p in self.parts for x in p.languages]
+
 
 def grams(texts: list[str | None], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each n-gram length, the buckets of all n-grams, and where each text's begin (and the end)."""
@@ -87,47 +101,60 @@ def fit(docs: DataFrame, learn: Column, bits: int = 16, alpha: float = 0.5) -> M
             yield pa.RecordBatch.from_pydict({"lang": [lang] * (len(at) + 1), "bucket": np.append(at, -1), "n": np.append(c[at], docs_of[lang])})
 
     sums = rows.mapInArrow(frugal(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = sums.toArrow()  # languages x buckets at most
-    names = got.column("lang").to_pylist()
-    languages = sorted(set(names))
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the matrix is made for {MOST_LANGUAGES} at most")
-    number = {x: i for i, x in enumerate(languages)}
-    row, col, n = np.array([number[x] for x in names], np.int64), got.column("bucket").to_numpy(), got.column("n").to_numpy()
-    counts, prior = np.zeros((1 << bits, len(languages))), np.zeros(len(languages))
-    prior[row[col < 0]] = n[col < 0]
-    counts[col[col >= 0], row[col >= 0]] = n[col >= 0]
-    counts += alpha
-    return Model(languages, np.log(counts / counts.sum(0, keepdims=True)) if languages else counts, np.log(prior / max(1, prior.sum())) if languages else prior, bits)
+    with Workspace(docs.sparkSession, "langid") as ws:
+        sums = ws.save(sums, "sums")
+        priors = {r.lang: r.n for r in sums.where("bucket < 0").collect()}  # a row for each language
+        languages, parts = sorted(priors), []
+        for i in range(0, len(languages), TOGETHER):
+            own = languages[i : i + TOGETHER]
+            got = sums.where((F.col("bucket") >= 0) & F.col("lang").between(own[0], own[-1])).toArrow()  # languages of a part x buckets at most
+            number = {x: k for k, x in enumerate(own)}
+            counts = np.full((1 << bits, len(own)), alpha)
+            counts[got.column("bucket").to_numpy(), [number[x] for x in got.column("lang").to_pylist()]] += got.column("n").to_numpy()
+            parts.append(Part(own, np.log(counts / counts.sum(0, keepdims=True)), np.log(np.array([priors[x] for x in own]) / sum(priors.values()))))
+    return Model(parts, bits)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns in keep, lang_pred and score, for every row of docs (which has a column text)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-
-    def predict(texts: list[str | None]) -> tuple[list[str], list[float]]:
-        m = held.value
-        name, prob = [UND] * len(texts), [0.0] * len(texts)
-        for a, some in blocks(texts) if m.languages else ():
-            total = np.tile(m.log_prior, (len(some), 1))
-            for x, starts in grams(some, m.bits):
+    spark, final = docs.sparkSession, docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    out = docs.select(*keep, F.col("text").cast("string").alias("text_to_score"), F.lit(UND).alias("best"), F.lit(float("-inf")).alias("top"), F.lit(float("-inf")).alias("total"))
+    between = out.schema
+
+    def rated(part: Part, texts: list[str | None], best: list[str], top: np.ndarray, total: np.ndarray) -> None:
+        """Brings the best language, its log-probability and the sum of all, by text, up to date."""
+        for a, some in blocks(texts):
+            at = np.tile(part.log_prior, (len(some), 1))
+            for x, starts in grams(some, model.bits):
                 got = np.flatnonzero(np.diff(starts))
                 if len(got):
-                    total[got] += np.add.reduceat(m.log_prob[x], starts[got], axis=0)
-            best = total.argmax(1)
-            sure = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-            for i, t in enumerate(some):
-                if t and any(map(str.isalpha, t)):
-                    name[a + i], prob[a + i] = m.languages[best[i]], float(sure[i])
-        return name, prob
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            name, prob = predict(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(prob, pa.float64())], names=[f.name for f in schema])
-
-    return docs.select(*keep, F.col("text").cast("string").alias("text_to_score")).mapInArrow(frugal(run), schema)
+                    at[got] += np.add.reduceat(part.log_prob[x], starts[got], axis=0)
+            b = slice(a, a + len(some))
+            high = at.max(1)
+            total[b] = np.logaddexp(total[b], high + np.log(np.exp(at - high[:, None]).sum(1)))
+            for i in np.flatnonzero(high > top[b]):
+                best[a + i] = part.languages[at[i].argmax()]
+            top[b] = np.maximum(top[b], high)
+
+    def one(held: Broadcast, last: bool) -> Callable[[Iterator], Iterator]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts, best = (batch.column(batch.num_columns - k).to_pylist() for k in (4, 3))
+                top, total = (batch.column(batch.num_columns - k).to_numpy().copy() for k in (2, 1))
+                rated(held.value, texts, best, top, total)
+                if last:
+                    known = [bool(t) and any(map(str.isalpha, t)) for t in texts]
+                    prob = np.where(known, np.exp(np.minimum(top - total, 0.0)), 0.0)
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:-4], pa.array([x if k else UND for x, k in zip(best, known, strict=True)], pa.string()), pa.array(prob)], names=[f.name for f in final])
+                else:
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(best, pa.string()), pa.array(top), pa.array(total)], names=[f.name for f in between])
+
+        return frugal(run)
+
+    for i, part in enumerate(model.parts):
+        last = i == len(model.parts) - 1
+        out = out.mapInArrow(one(spark.sparkContext.broadcast(part), last), final if last else between)
+    return out if model.parts else out.select(*keep, F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
 
 
 def held_out(mod: int, rest: int) -> Column:

@@ -28,9 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import Workspace, components, shuffle_parts
+from linkloom.llm.textarrays import frugal
 
 BLOCK, CHUNK, TILE = 16, 16_384, 2048
 SAMPLE = 10_000
+#: A meeting of two chunks within a block.
+KEYS = ("run_1", "chunk_1", "run_2", "chunk_2")
 
 
 def rotation(sample: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -113,29 +116,29 @@ def meetings(distinct: DataFrame, d: int, n: int, threshold: float) -> DataFrame
                 run = np.searchsorted(edges[k], x @ axes[:, b[0]], "right")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k)), pa.array(run)], names=["block", "run"])
 
-    sizes = {(r.block, r.run): r["count"] for r in distinct.select("v").mapInArrow(place, "block long, run long").groupBy("block", "run").count().collect()}  # a row for each run
-    chunks: dict[tuple[int, int], int] = {k: -(-c // CHUNK) for k, c in sizes.items()}
-    #: For each chunk, the numbers of its meetings, and whether it is the first of the two.
-    meets: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
-    number = 0
-    for k in range(len(blocks)):
-        bound = np.concatenate([[-np.inf], edges[k], [np.inf]])
-        for r in range(runs):
-            for q in range(r, runs):
-                if (r, q) != (r, r) and (bound[q] - bound[r + 1]) > budget[k] ** 0.5 + 1e-6:
-                    break
-                for i in range(chunks.get((k, r), 0)):
-                    for j in range(i if r == q else 0, chunks.get((k, q), 0)):
-                        meets.setdefault((k, r, i), []).append((number, 0))
-                        if (r, i) != (q, j):
-                            meets.setdefault((k, q, j), []).append((number, 1))
-                        number += 1
-    plan = spark.sparkContext.broadcast((chunks, meets))
-    parts = max(1, min(number, 4 * shuffle_parts(spark)))
+    sizes = np.zeros((len(blocks), runs), np.int64)
+    for r in distinct.select("v").mapInArrow(place, "block long, run long").groupBy("block", "run").count().collect():  # a row for each run
+        sizes[r.block, r.run] = r["count"]
+    chunks = spark.sparkContext.broadcast(-(-sizes // CHUNK))
+
+    def reach(k: int, r: int, edges: list[np.ndarray], budget: np.ndarray) -> int:
+        """The last run that is near enough to meet run r."""
+        return max(r, int(np.searchsorted(edges[k], (edges[k][r] if r < runs - 1 else np.inf) + budget[k] ** 0.5 + 1e-6, "right")))
+
+    def partners(k: int, r: int, i: int, edges: list[np.ndarray], budget: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """The meetings of a chunk: the first chunk (run, number), the second, and which of the two it is itself."""
+        low = r
+        while low > 0 and reach(k, low - 1, edges, budget) >= r:
+            low -= 1
+        for q in range(low, reach(k, r, edges, budget) + 1):
+            for j in range(many[k, q]):
+                first, second = sorted([(r, i), (q, j)])
+                yield (*first, *second, int((r, i) != first))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes, blocks, _, edges = held.value
-        chunks, meets = plan.value
+        """The vectors of each chunk, packed, once for each of its meetings, which are worked out here."""
+        axes, blocks, budget, edges = held.value
+        many = chunks.value
         for batch in batches:
             x = unit(batch)
             raw = np.ascontiguousarray(vectors_of(batch))
@@ -144,31 +147,38 @@ def meetings(distinct: DataFrame, d: int, n: int, threshold: float) -> DataFrame
                 run = np.searchsorted(edges[k], x @ axes[:, b[0]], "right")
                 for r in np.unique(run):
                     own = np.flatnonzero(run == r)
-                    salt = (node[own] * 2654435761 >> 7) % chunks[(k, r)]
+                    salt = (node[own] * 2654435761 >> 7) % many[k, r]
                     for i in np.unique(salt):
                         at = own[salt == i]
-                        to = meets.get((k, r, i), ())
+                        to = [(k, *x) for x in partners(k, int(r), int(i), edges, budget, many)]
                         body = [pa.array([y[at].tobytes()] * len(to), pa.binary()) for y in (node, times, raw)]
-                        yield pa.RecordBatch.from_arrays([pa.array([m for m, _ in to], pa.int64()), pa.array([k] * len(to), pa.int64()), pa.array([s for _, s in to], pa.int64()), *body], names=["meeting", "block", "side", "node", "times", "raw"])
+                        yield pa.RecordBatch.from_arrays([*(pa.array(y, pa.int64()) for y in zip(*to, strict=True)), *body], names=["block", *KEYS, "side", "node", "times", "raw"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by meeting, so one meeting is held at a time."""
         axes, blocks, budget, _ = held.value
-        groups: dict[int, list[list]] = {}
-        kind: dict[int, int] = {}
-        for batch in batches:
-            for m, k, s, *body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                kind[m] = k
-                groups.setdefault(m, [[], []])[s].append(body)
-        for m, sides in groups.items():
-            k = kind[m]
-            if not sides[0]:
-                continue
-            own = [gathered(s, d) for s in (sides if sides[1] else [sides[0], sides[0]])]
-            for a, b, count, side in within(own[0], own[1], not sides[1], axes, blocks, budget, k, threshold):
+
+        def met(key: tuple, sides: list[list]) -> Iterator[pa.RecordBatch]:
+            same = key[1:3] == key[3:5]
+            if not sides[0] or not (same or sides[1]):
+                return
+            own = [gathered(s, d) for s in (sides[:1] * 2 if same else sides)]
+            for a, b, count, _ in within(own[0], own[1], same, axes, blocks, budget, key[0], threshold):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b) if b is not None else pa.nulls(len(a), pa.int64()), pa.array(count) if count is not None else pa.nulls(len(a), pa.int64())], names=["a", "b", "count"])
 
-    rows = distinct.select("node", "v", "times").mapInArrow(deal, "meeting long, block long, side long, node binary, times binary, raw binary")
-    return rows.repartition(parts, "meeting").mapInArrow(meet, "a long, b long, count long")
+        key, sides = None, [[], []]
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key is not None and row[:5] != key:
+                    yield from met(key, sides)
+                    sides = [[], []]
+                key = row[:5]
+                sides[row[5]].append(row[6:])
+        if key is not None:
+            yield from met(key, sides)
+
+    rows = distinct.select("node", "v", "times").mapInArrow(frugal(deal), "block long, run_1 long, chunk_1 long, run_2 long, chunk_2 long, side long, node binary, times binary, raw binary")
+    return rows.repartition(4 * shuffle_parts(spark), "block", *KEYS).sortWithinPartitions("block", *KEYS).mapInArrow(frugal(meet), "a long, b long, count long")
 
 
 def vectors_of(batch: pa.RecordBatch) -> np.ndarray:

@@ -87,10 +87,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
     most = F.when(size < SPAN, 0).otherwise(F.floor(width / SLACK))
     same = F.transform("own", lambda w, i: (F.get("codes", i + F.col("shift")) == w) & (i + F.col("shift") >= 0))
     checked = checked.withColumn("same", F.transform(same, lambda x: F.coalesce(x, F.lit(False)).cast("int")))
-    sums = F.aggregate("same", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
-    checked = checked.withColumn("sums", sums).withColumn("good", F.filter(F.sequence(F.lit(0), size - width), lambda i: F.get("sums", i + width) - F.get("sums", i) >= width - most))
+    among = lambda i, n: F.aggregate(F.slice("same", (i + 1).cast("int"), n.cast("int")), F.lit(0), lambda a, x: a + x)
+    checked = checked.withColumn("good", F.filter(F.sequence(F.lit(0), size - width), lambda i: among(i, width) >= width - most))
     checked = checked.where(F.size("good") > 0).withColumn("start", F.array_min("good")).withColumn("end", F.array_max("good") + width)
-    best = checked.select("doc_id", "item_id", "item", F.greatest(F.col("start") + F.col("shift"), F.lit(0)).alias("start"), F.least(F.col("end") + F.col("shift"), F.size("codes")).alias("end"), (F.get("sums", F.col("end")) - F.get("sums", F.col("start"))).alias("n_same"), size.alias("n_item"))
+    best = checked.select("doc_id", "item_id", "item", F.greatest(F.col("start") + F.col("shift"), F.lit(0)).alias("start"), F.least(F.col("end") + F.col("shift"), F.size("codes")).alias("end"), among(F.col("start"), F.col("end") - F.col("start")).alias("n_same"), size.alias("n_item"))
     return best.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_same", -F.col("start"), "end", "n_item")).alias("x")).select("doc_id", "item_id", (-F.col("x.col2")).cast("long").alias("start"), F.col("x.end").cast("long").alias("end"), F.col("x.n_same").cast("long").alias("n_same"), F.col("x.n_item").cast("long").alias("n_item"))
 
 

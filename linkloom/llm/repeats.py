@@ -13,8 +13,8 @@ several times. So suffixes are first dealt to groups that can be sorted apart:
    task: there each string goes to the place of its own hash, packed, and equal ones are counted, which is exact too.
 4. In a group, the difference-cover algorithm sorts the suffixes of the joined contexts: suffixes at places 1 and 2 of 3
    are sorted by triples, names that are not yet unique are sorted by recursion, the rest is merged by first symbol and the rank
-   behind it. Of the strings that the group is for, neighbours in this order are compared over LENGTH bytes; equal ones
-   repeat.
+   behind it. Of the strings that the group is for, neighbours in this order are compared over LENGTH bytes (by hash, and
+   those alike byte by byte); equal ones repeat.
 5. Repeated starts go back to their documents as runs, whose union, each widened by LENGTH, is removed.
 
 Strings never cross documents; overlapping occurrences count; all is judged on the input. Texts are UTF-8 bytes; a null text is empty, and texts
@@ -146,12 +146,27 @@ def repeated(contexts: list[bytes], width: list[int], many: list[bool], length:
         own[i : i + w + 1] = True
     place = order[own[order]]
     h = span(prefix_hash(raw), place, place + length)
-    twin = h[1:] == h[:-1]  # neighbours alike over the whole length
+    twin = h[1:] == h[:-1]
+    at = np.flatnonzero(twin)
+    twin[at] = alike(raw, place[at], place[at + 1], length)  # neighbours alike over the whole length
     found = np.zeros(len(text), bool)
     found[place[np.append(False, twin) | np.append(twin, False)]] = True
     return [np.arange(w + 1) if m else np.flatnonzero(found[i : i + w + 1]) for i, w, m in zip(begin[:-1], width, many, strict=True)]
 
 
+def alike(raw: np.ndarray, i: np.ndarray, j: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings of that length at i and at j are equal, byte by byte; eight at a time, and only while equal."""
+    out = np.ones(len(i), bool)
+    step = 8 if length >= 8 else 1
+    words = np.ndarray(max(0, len(raw) - step + 1), "<u8" if step == 8 else "u1", raw, strides=(1,))
+    for k in [*range(0, length - step + 1, step), length - step]:
+        same = words[i + k] == words[j + k]
+        if not same.all():
+            out[np.flatnonzero(out)[~same]] = False
+            i, j = i[same], j[same]
+    return out
+
+
 def runs_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last of each run of consecutive integers."""
     if not len(starts):
@@ -328,15 +343,13 @@ def union_of(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, text as bytes (kept), n_bytes and spans (removed intervals of bytes) for every row of docs."""
-    spark = docs.sparkSession
-    ws = Workspace(spark, "repeats")
-    with ws:
+    with Workspace(docs.sparkSession, "repeats") as ws:
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"))
         rows = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row"), F.xxhash64("text").alias("mark_row"), "text", "doc_id")
         runs = repeated_runs(rows.select("row", "mark_row", "text"), ws, length, gram).distinct()
         runs = runs.groupBy("row", "mark_row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-        runs = Workspace(spark, "repeats-runs").save(runs, "runs", tidy=True)
+        runs = ws.keep(runs, "of-rows")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -356,5 +369,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
 
 def digest(removed: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and has_repeat: whether anything was removed."""
     n = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return removed.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return removed.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("has_repeat"))

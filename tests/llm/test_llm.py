@@ -19,6 +19,9 @@ from linkloom.llm.queries import vocabulary
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, start int, node int, sig string"
 
 
+DOCS_NAMES = [x.split()[0] for x in DOCS.split(", ")]
+
+
 def docs_of(spark, texts, langs=None):
     return spark.createDataFrame([(i, t, (langs or ["en"] * len(texts))[n], f"src{n % 3}", 0, 1, 2, "x") for n, (i, t) in enumerate(texts)], DOCS)
 
@@ -135,17 +138,48 @@ def test_secrets(spark):
     assert got[402].spans == "github:0:44"
 
 
-def test_toxicity_learns_and_is_fair():
-    rng = np.random.default_rng(0)
+def test_toxicity_learns_and_is_fair(spark):
     toxic = (np.arange(400) % 4 == 0).astype(int)
     words = lambda t, i: f"some words here {'idiot' if t else 'fine'} muslims {i % 7}" if t or i % 5 == 0 else f"some words here fine {i % 7}"
-    sets = list(toxicity.word_sets(pa.array([words(t, i) for i, t in enumerate(toxic)])))
-    pairs = [(toxicity.bucket(a), toxicity.bucket(b)) for i, t in enumerate(toxic) for a, b in toxicity.swaps(words(t, i))]
-    fair, plain = toxicity.fit(sets, toxic, pairs), toxicity.fit(sets, toxic, [])
+    rows = spark.createDataFrame([(words(t, i), int(t)) for i, t in enumerate(toxic)], "text string, toxic int")
+    fair, plain = toxicity.learn(rows), toxicity.learn(rows, fair=0.0)
     group, neutral = toxicity.bucket("muslims"), toxicity.bucket("people")
     assert abs(fair.weights[group] - fair.weights[neutral]) < abs(plain.weights[group] - plain.weights[neutral])
     assert fair.weights[toxicity.bucket("idiot")] > 1
-    assert rng is not None
+
+
+def test_toxicity_steps_follow_the_gradient():
+    """The penalised loss, worked out plainly: its value falls, and at the end its slope, by differences, is all but level."""
+    rng = np.random.default_rng(1)
+    x = rng.random((60, 6)) < 0.4
+    y = (rng.random(60) < 0.2 + 0.6 * x[:, 0]).astype(int)
+    swap, times = np.array([[0, 1], [2, -1]]), np.array([3, 2])
+    row, col = np.nonzero(x)
+
+    def loss(w, b):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        full = np.append(w, 0.0)
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean() + 0.5e-2 * (w**2).sum() + (times / 5 * (full[swap[:, 0]] - full[swap[:, 1]]) ** 2).sum()
+
+    w, b = toxicity.descend(row, col, y, 6, swap, times, 1e-2, 1.0, 3000)
+    assert loss(w, b) < loss(np.zeros(6), 0.0)
+    for k in range(6):
+        step = np.eye(6)[k] * 1e-4
+        assert abs(loss(w + step, b) - loss(w - step, b)) / 2e-4 < 2e-3
+
+
+def test_toxicity_defined_cases(spark):
+    """Ties of labels: the largest; repeated rows repeat; null, empty and very long texts; no documents; columns of the same names."""
+    rows = [(i, "you idiot " + "word " * 9 if i % 4 == 0 else "kind " + "word " * 9) for i in range(200)] + [(3, "kind word"), (3, "kind word"), (None, "x"), (600, None), (601, ""), (602, "kind " * 50_000 + "idiot")]
+    docs = docs_of(spark, rows).withColumn("score", F.lit("own")).withColumn("toxic", F.lit(9)).withColumn("predicted", F.lit(5))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(i, 0) for i in range(0, 200, 4)] + [(None, 1)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, labels).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and sum(r.doc_id == 3 for r in got) == 3 and not by[None].held_out
+    assert all(by[i].predicted == int(i % 4 == 0) for i in range(4, 200)) and by[600].score == by[601].score
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    share = toxicity.toxicity(docs, labels.where("toxic = 0")).collect()
+    assert len({r.score for r in share}) == 1 and share[0].score < 0.1
 
 
 def test_toxicity_query(spark):
@@ -197,6 +231,68 @@ def test_mixing_prefix(spark, monkeypatch):
     assert 895 < tokens <= 900
 
 
+def shares(children, budget):
+    """children: name -> (weight, limit). The budget dealt by weight; who is full drops out, until nothing changes."""
+    full, out = {}, dict.fromkeys(children, 0.0)
+    while True:
+        left = budget - sum(full.values())
+        weight = sum(w for c, (w, _) in children.items() if c not in full)
+        over = {c: m for c, (w, m) in children.items() if c not in full and w > 0 and left * w / weight >= m - 1e-9}
+        if not over:
+            break
+        full |= over
+    return out | {c: left * w / weight for c, (w, _) in children.items() if c not in full and weight > 0} | full
+
+
+def test_mixing_against_a_plain_mixture(spark, monkeypatch):
+    """Budgets down the tree and the exact prefix of each leaf's last epoch, from the documented order; nulls, ties, repeated rows."""
+    monkeypatch.setattr(mixing, "RANGE", 30)
+    monkeypatch.setattr(mixing, "PARTS", 4)
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randint(0, 9), rng.choice(["en", "de", None]), rng.choice(["src0", "src1", "src4", "src5", None, "blog"]), 0, 1, 2, "x") for i in range(600)]
+    rows += [(None, "a b", "en", "src0", 0, 1, 2, "x"), (7, None, "en", "src0", 0, 1, 2, "x"), rows[3], rows[3], (900, "z " * 4000, "de", "src1", 0, 1, 2, "x")]
+    tree, budget, most, seed = {"d0": (3.0, {"en": 2.0, "*": (1.0, {"src4": 5.0})}), "d1": 1.0}, 4000, 3, 11
+    df = spark.createDataFrame(rows, DOCS).withColumns({"mix_tokens": F.lit("own"), "mix_part": F.lit(1), "at": F.lit(1), "n": F.lit(1), "room": F.lit(1), "upto": F.lit(1)})
+    tokens = lambda t: len((t or "").split())
+    leaf = lambda r: ("d" + (str(int(re.search(r"(\d+)$", r[3])[1]) % 4) if r[3] and re.search(r"\d+$", r[3]) else "0"), r[2] or "", r[3] or "")
+    size = collections.Counter()
+    for r in rows:
+        size[leaf(r)] += tokens(r[1])
+    own = lambda x: x[0] if isinstance(x, tuple) else x
+    below = lambda x: x[1] if isinstance(x, tuple) else {}
+    target = {}
+    part = lambda i, head: {x[i] for x in size if x[:i] == head}
+    limit = lambda head: float(most * sum(n for x, n in size.items() if x[: len(head)] == head))
+    pick = lambda level, name: level.get(name, level.get("*", 1.0))
+    for d, b in shares({d: (own(pick(tree, d)), limit((d,))) for d in part(0, ())}, budget).items():
+        langs = below(pick(tree, d))
+        for x, c in shares({x: (own(pick(langs, x)), limit((d, x))) for x in part(1, (d,))}, b).items():
+            sources = below(pick(langs, x))
+            for y, t in shares({y: (own(pick(sources, y)), limit((d, x, y))) for y in part(2, (d, x))}, c).items():
+                target[d, x, y] = t
+    whole = {x: (min(most, int(t * (1 + 1e-12) // size[x])) if size[x] else 1) for x, t in target.items()}
+    keyed = spark.createDataFrame([(n, r[0], r[1], whole[leaf(r)]) for n, r in enumerate(rows)], "n long, doc_id long, text string, whole int")
+    place = {r.n: (r.range, r.h, r.id, r.t) for r in keyed.select("n", F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "whole", "doc_id"), 33), F.lit(1 << 31)).alias("range"), F.xxhash64(F.lit(seed), "whole", "doc_id").alias("h"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64("text").alias("t")).collect()}
+    want = collections.Counter()
+    for x in size:
+        rest = int(target[x] - whole[x] * size[x] + 1e-6) if size[x] else 0
+        members = collections.defaultdict(list)
+        count = sum(leaf(r) == x for r in rows)
+        ranges = -(-count // 30)
+        for n, r in enumerate(rows):
+            if leaf(r) == x:
+                want[str(r[0]), r[1]] += whole[x]
+                members[(place[n][0] * ranges * 4 // 2**31, *place[n][1:])].append(n)
+        for k in sorted(members) if rest > 0 else []:
+            rest -= sum(tokens(rows[n][1]) for n in members[k])
+            if rest < 0:
+                break
+            want.update((str(rows[n][0]), rows[n][1]) for n in members[k])
+    got = mixing.mix_sources(df, tree, budget, seed, most)
+    assert got.columns == [*DOCS_NAMES, "at", "n", "room", "upto", *mixing.KEYS, "mix_tokens", "mix_epoch"]
+    assert collections.Counter((str(r.doc_id), r.text) for r in got.collect()) == +want
+
+
 def test_language(spark):
     rows = [(i, {"en": "the house and the tree of ", "fr": "la maison et les arbres du "}[["en", "fr"][i % 2]] * (1 + i % 4)) for i in range(80)] + [(90, None), (91, "123 !!"), (92, "The tree")]
     got = {r.doc_id: r for r in langid.language_id(docs_of(spark, rows, [["en", "fr"][i % 2] for i in range(80)] + [None, "en", "en"])).collect()}
@@ -207,6 +303,92 @@ def test_language(spark):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def bayes(rows, bits=16, alpha=0.5):
+    """Naive Bayes written out: for each text the language and its probability. rows: id, text, lang."""
+
+    def buckets(t):
+        for n in (1, 2, 3):
+            for i in range(len(t) - n + 1):
+                x = sum(ord(c) * f for c, f in zip(t[i : i + n], (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))) % 2**64
+                x = x * (2 * n + 1) % 2**64
+                x ^= x >> 29
+                yield x * 0xBF58476D1CE4E5B9 % 2**64 >> 64 - bits
+
+    counts, docs = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, t, lang in rows:
+        if i is not None and t is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang].update(buckets(t.lower()))
+            docs[lang] += 1
+    out = []
+    for _, t, _ in rows:
+        if not t or not any(c.isalpha() for c in t) or not docs:
+            out.append(("und", 0.0))
+            continue
+        own = {x: np.log(docs[x] / docs.total()) + sum(np.log((counts[x][b] + alpha) / (counts[x].total() + alpha * 2**bits)) for b in buckets(t.lower())) for x in sorted(docs)}
+        best = max(own, key=own.get)
+        out.append((best, 1 / sum(np.exp(v - own[best]) for v in own.values())))
+    return out
+
+
+@pytest.mark.parametrize("together", [256, 2])
+def test_language_against_plain_bayes(spark, together, monkeypatch):
+    """Also in parts of two languages; ties, repeated rows, null ids, texts and languages, empty and long texts, other columns."""
+    monkeypatch.setattr(langid, "TOGETHER", together)
+    rng = random.Random(6)
+    letters = {"en": "the hous", "fr": "les mai\u00e9\u00e8", "de": "der h\u00e4us", "es": "las cas\u00f1", "pt": "os c\u00e3as"}
+    rows = [(i, "".join(rng.choice(letters[lang]) for _ in range(rng.randint(1, 12))), lang) for i in range(120) for lang in [rng.choice(sorted(letters))]]
+    rows += [(None, "the the", "fr"), (200, None, "en"), (201, "", "en"), (202, "12 ?!", "en"), (203, "\u4e2d\u6587", None), (204, "les " * 3000, None), rows[5], rows[5], (205, "s", None)]
+    docs = docs_of(spark, [x[:2] for x in rows], [x[2] for x in rows]).withColumns({c: F.lit("own") for c in ("lang_pred", "score", "best", "top", "total", "text_to_score", "held_out")})
+    got = langid.language_id(docs)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    key = lambda r: (str(r[0]), r[1], round(r[2], 6))
+    want = bayes(rows)
+    assert sorted(key((r.doc_id, r.lang_pred, r.score)) for r in got.collect()) == sorted(key((x[0], *y)) for x, y in zip(rows, want, strict=True))
+    assert {r.held_out for r in got.where("doc_id is null").collect()} == {False}
+    assert langid.language_id(docs.limit(0)).count() == 0
+
+
+def overlapping(doc, item):
+    """Whether some alignment has a stretch with few enough changed words, worked out plainly."""
+    d, w = (re.findall(r"[^\W_]+", (t or "").lower()) for t in (doc, item))
+    if len(w) < decontamination.SHORTEST:
+        return False
+    width = min(len(w), decontamination.WINDOW)
+    most = 0 if len(w) < decontamination.SPAN else width // decontamination.SLACK
+    for shift in range(-len(w), len(d) + 1):
+        same = [0 <= i + shift < len(d) and d[i + shift] == x for i, x in enumerate(w)]
+        if any(sum(same[i : i + width]) >= width - most for i in range(len(w) - width + 1)):
+            return True
+    return False
+
+
+def test_decontamination_against_plain_alignment(spark):
+    """Items of 4 to 24 words, whole, changed, cut and in any place; repeated words, repeated items and documents, null and empty texts."""
+    rng = random.Random(12)
+    word = lambda: rng.choice("abcdefghijklmnop") + rng.choice("aeiou")
+    items = [(n, " ".join(word() for _ in range(n))) for n in range(2, 25)] + [(30, "ba " * 6), (31, "ba " * 20), (32, None), (33, ""), (5, "da da de de di")]
+    docs = []
+    for i in range(400):
+        own = rng.choice([x for x in items if x[1]])[1].split()
+        for _ in range(rng.choice([0, 0, 1, 2, 3])):
+            own[rng.randrange(len(own))] = word()
+        cut = rng.choice([0, 0, 0, 1, 2])
+        own = own[cut:] if rng.random() < 0.5 else own[: len(own) - cut]
+        docs.append((i, " ".join([word() for _ in range(rng.choice([0, 1, 2, 7]))] + own + [word() for _ in range(rng.choice([0, 1, 5]))])))
+    docs += [(400, None), (401, ""), (402, "ba " * 5), (403, "ba " * 40), docs[0], (404, "zz " * 5000 + items[15][1])]
+    want = {(i, k) for i, t in docs for k, x in items if overlapping(t, x)}
+    got = [(r.doc_id, r.item_id) for r in decontamination.contaminated(docs_of(spark, docs), spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")).collect()]
+    assert set(got) == want and len(got) == len(set(got)) and len(want) > 200
+
+
+@pytest.mark.parametrize("k", [4, 5, 6, 7])
+def test_decontamination_finds_short_items_everywhere(spark, k):
+    item = " ".join(f"w{i}" for i in range(k))
+    docs = [(at, " ".join([f"x{i}" for i in range(at)] + [item] + ["y"])) for at in range(12)] + [(50, " ".join(item.split()[:-1]))]
+    got = {(r.doc_id, r.start, r.end) for r in decontamination.contaminated(docs_of(spark, docs), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got == {(at, at, at + k) for at in range(12)}
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
@@ -276,7 +458,7 @@ def test_repeats(spark, texts, crowd, piece, monkeypatch):
             if count[b[j : j + length]] > 1:
                 gone[j : j + length] = True
         spans = int((np.diff(np.append(0, gone.astype(int))) == 1).sum())
-        want.append((i if i is not None else -1, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()))
+        want.append((i if i is not None else -1, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest(), bool(gone.any())))
     got = [(r.doc_id if r.doc_id is not None else -1, *r[1:]) for r in repeats.digest(repeats.remove_repeats(docs_of(spark, rows), length, 16)).collect()]
     assert sorted(got) == sorted(want)
 

@@ -6,7 +6,6 @@ import argparse
 import json
 import logging
 import os
-import tempfile
 import time
 from dataclasses import dataclass
 
@@ -102,7 +101,8 @@ def cut(df: DataFrame) -> DataFrame:
     """df without its lineage, kept in the folder that driver and executors share."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkloom-"))
+        conf = df.sparkSession.conf
+        sc.setCheckpointDir(conf.get("spark.checkpoint.dir", None) or conf.get("spark.sql.warehouse.dir").rstrip("/") + "/linkloom")
     return df.checkpoint()
 
 

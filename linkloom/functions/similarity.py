@@ -1,69 +1,70 @@
-"""Jaro, Jaro-Winkler without boost threshold, token-set similarity and one-edit tests, as column expressions."""
+"""Jaro, Jaro-Winkler without boost threshold, token-set similarity and one-edit tests, as column expressions.
+
+Similarities of tokens are Arrow functions over whole batches (kernels.py): written with higher-order functions they are
+interpreted for each pair, some hundred times slower. All else is built-in functions.
+"""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Stands for a character that is already matched.
-USED = "￿"
+from linkloom.functions import kernels
 
 
-def jaro(a: Column, b: Column) -> Column:
-    """Transpositions are counted in whole pairs. Empty against anything: 0."""
-    la, lb = F.length(a), F.length(b)
-    reach = F.greatest(F.floor(F.greatest(la, lb) / 2).cast("int") - 1, F.lit(0))
+@F.arrow_udf("double")
+def _jaro(a: pa.Array, b: pa.Array) -> pa.Array:
+    tokens, (x, y) = kernels.numbered(a, b)
+    return pa.array(tokens.jaro(x, y))
+
+
+@F.arrow_udf("double")
+def _jaro_winkler(a: pa.Array, b: pa.Array) -> pa.Array:
+    tokens, (x, y) = kernels.numbered(a, b)
+    return pa.array(tokens.jaro_winkler(x, y))
+
 
-    def step(s: Column, i: Column) -> Column:
-        at = F.call_function("locate", F.substr(a, i, F.lit(1)), s["rest"], F.greatest(i - reach, F.lit(1)))
-        hit = (at > 0) & (at <= i + reach)
-        return F.struct(F.when(hit, F.overlay(s["rest"], F.lit(USED), at, F.lit(1))).otherwise(s["rest"]).alias("rest"), F.when(hit, F.concat(s["own"], F.substr(a, i, F.lit(1)))).otherwise(s["own"]).alias("own"))
+@F.arrow_udf("double")
+def _token_sim(a: pa.Array, b: pa.Array) -> pa.Array:
+    tokens, (x, y) = kernels.numbered(a, b)
+    return pa.array(tokens.similarity(x, y))
 
-    def close(s: Column) -> Column:
-        m = F.length(s["own"])
-        of_b = F.array_join(F.transform(F.filter(F.sequence(F.lit(1), lb), lambda j: F.substr(s["rest"], j, F.lit(1)) == USED), lambda j: F.substr(b, j, F.lit(1))), "")
-        off = F.size(F.filter(F.sequence(F.lit(1), m), lambda j: F.substr(s["own"], j, F.lit(1)) != F.substr(of_b, j, F.lit(1))))
-        return F.when(m == 0, F.lit(0.0)).otherwise((m / la + m / lb + (m - F.floor(off / 2)) / m) / 3)
 
-    own = F.aggregate(F.sequence(F.lit(1), la), F.struct(b.alias("rest"), F.lit("").alias("own")), step, close)
-    return F.when((la == 0) | (lb == 0), F.lit(0.0)).when(a == b, F.lit(1.0)).otherwise(own)
+@F.arrow_udf("double")
+def _name_sim(a: pa.Array, b: pa.Array) -> pa.Array:
+    return kernels.name_similarity(a, b)
 
 
-def prefix(a: Column, b: Column) -> Column:
-    """Length of the common prefix, four at most."""
-    out = F.lit(0)
-    for k in (4, 3, 2, 1):
-        out = F.when((F.length(a) >= k) & (F.length(b) >= k) & (F.substring(a, 1, k) == F.substring(b, 1, k)), F.lit(k)) if k == 4 else out.when((F.length(a) >= k) & (F.length(b) >= k) & (F.substring(a, 1, k) == F.substring(b, 1, k)), F.lit(k))
-    return out.otherwise(F.lit(0))
+def known(a: Column, b: Column, value: Column) -> Column:
+    """value, or null where a side is."""
+    return F.when(a.isNotNull() & b.isNotNull(), value)
+
+
+def jaro(a: Column, b: Column) -> Column:
+    """Transpositions are counted in whole pairs. Empty against anything: 0."""
+    return known(a, b, _jaro(a, b))
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
-    j = jaro(a, b)
-    return j + 0.1 * prefix(a, b) * (1 - j)
+    return known(a, b, _jaro_winkler(a, b))
 
 
 def token_sim(a: Column, b: Column) -> Column:
     """Equal tokens 1; an initial against a token that begins with it at least 0.95."""
-    initial = ((F.length(a) == 1) | (F.length(b) == 1)) & (F.substring(a, 1, 1) == F.substring(b, 1, 1))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(jaro_winkler(a, b), F.when(initial, F.lit(0.95)).otherwise(F.lit(0.0))))
-
-
-def mean(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    return known(a, b, _token_sim(a, b))
 
 
 def name_sim(a: Column, b: Column) -> Column:
     """For each token its best match on the other side, averaged, both ways, averaged; null if a side is empty."""
-    matrix = F.transform(a, lambda t: F.transform(b, lambda s: token_sim(t, s)))
-    rows = mean(F.transform(matrix, lambda r: F.array_max(r)))
-    cols = mean(F.transform(F.sequence(F.lit(0), F.size(b) - 1), lambda j: F.array_max(F.transform(matrix, lambda r: F.get(r, j)))))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), (rows + cols) / 2)
+    return _name_sim(a, b)
 
 
 def shared_bits(tokens_l: Column, bits_l: Column, tokens_r: Column) -> Column:
     """Summed surprisal of the tokens on both sides; 0 where there are none."""
     common = F.array_intersect(tokens_l, tokens_r)
-    return F.coalesce(F.aggregate(common, F.lit(0.0), lambda s, t: s + F.get(bits_l, F.array_position(tokens_l, t).cast("int") - 1)), F.lit(0.0))
+    total = F.aggregate(common, F.lit(0.0), lambda s, t: s + F.get(bits_l, F.array_position(tokens_l, t).cast("int") - 1))
+    return F.when(F.arrays_overlap(tokens_l, tokens_r), total).otherwise(F.lit(0.0))  # most pairs share none, and the test is compiled
 
 
 def one_edit(a: Column, b: Column) -> Column:

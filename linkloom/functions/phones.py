@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A number in scientific notation; the other expressions of this module are fixed too (fixed values).
 SCIENTIFIC = r"^\s*[0-9]+(\.[0-9]+)?[Ee][+-]?[0-9]+\s*$"
 MIN_DIGITS, MAX_DIGITS, SPLIT_MIN = 7, 12, 7
 
@@ -45,6 +46,16 @@ def phone_set(c: Column, low: int = MIN_DIGITS, high: int = MAX_DIGITS, split_mi
     return F.array_distinct(F.filter(F.transform(pieces(c, split_min), lambda p: canonical(p, low, high)), lambda p: p.isNotNull()))
 
 
+def widest(df: DataFrame, raw: str) -> int:
+    """The most numbers that an entry holds, 1 at least."""
+    return max(1, df.agg(F.max(F.size(phone_set(F.col(raw))))).head()[0] or 0)
+
+
+def clean_phone(df: DataFrame, raw: str, n: int | None = None) -> DataFrame:
+    """df with phone_1 to phone_n; n: as many as the widest entry has, unless given."""
+    return df.select("*", *phone_columns(F.col(raw), n or widest(df, raw)))
+
+
 def phone_columns(c: Column, n: int) -> list[Column]:
     """phone_1 to phone_n."""
     return [F.get(phone_set(c), F.lit(i)).alias(f"phone_{i + 1}") for i in range(n)]

@@ -9,6 +9,7 @@ from linkloom.functions.text import null_if_blank, split_words, std_text
 
 #: Words for kinds of places and French function words (fixed values).
 ADM4_TYPE_WORDS = ("Q", "QUARTIER", "CARTIER", "QTIER", "CEL", "CELL", "CELLULE", "AV", "AVENUE", "RUE", "BLOC", "VIL", "VILLAGE", "LOC", "LOCALITE", "COMMUNE", "COM", "GROUPEMENT", "GRPT", "DE", "DU", "DES", "LA", "LE", "ET", "AU", "PRES", "VERS")
+#: House numbers, and kilometre posts with the mark before or behind (fixed values).
 HOUSE = r"\b(N|NO|NR|NUM|NUMERO) ?[0-9]+\b"
 POST_BEFORE = r"\bPK ?([0-9]+)( ?KM)?\b"
 POST_BEHIND = r"\b([0-9]+) ?KM\b"

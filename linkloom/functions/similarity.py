@@ -9,29 +9,30 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from linkloom.functions import kernels
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def _jaro(a: pa.Array, b: pa.Array) -> pa.Array:
     tokens, (x, y) = kernels.numbered(a, b)
     return pa.array(tokens.jaro(x, y))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def _jaro_winkler(a: pa.Array, b: pa.Array) -> pa.Array:
     tokens, (x, y) = kernels.numbered(a, b)
     return pa.array(tokens.jaro_winkler(x, y))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def _token_sim(a: pa.Array, b: pa.Array) -> pa.Array:
     tokens, (x, y) = kernels.numbered(a, b)
     return pa.array(tokens.similarity(x, y))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def _name_sim(a: pa.Array, b: pa.Array) -> pa.Array:
     return kernels.name_similarity(a, b)
 

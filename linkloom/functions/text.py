@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Letters that decompose into no base letter, and their ASCII spelling (fixed values).
-SPELLED = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "TH", "þ": "th", "Ĳ": "IJ", "ĳ": "ij", "ẞ": "SS"}
-PLAIN = {"Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ł": "L", "ł": "l", "ı": "i", "Ħ": "H", "ħ": "h", "Ŧ": "T", "ŧ": "t"}
+#: Where characters stand that Latin-ASCII folding may change: Latin letters, phonetic ones, punctuation and signs, wide forms.
+FOLDED = ((0xA0, 0x2B0), (0x1D00, 0x1DC0), (0x1E00, 0x1F00), (0x2000, 0x2300), (0x2460, 0x2500), (0x2C60, 0x2C80), (0x3000, 0x3040), (0xFB00, 0xFB07), (0xFF00, 0xFFF0))
+_folds: dict[str, str] = {}
 
 
 def fold_table() -> dict[str, str]:
-    """Latin letters with marks and their base letters, from Unicode's decompositions."""
-    out = dict(PLAIN)
-    for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]):
-        base = "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x))
-        if base != c and len(base) == 1 and base.isascii():
-            out[c] = base
-    return out
+    """Each character that Latin-ASCII folding changes, and what it becomes; from the ICU library that Spark ships with."""
+    if not _folds:
+        icu = SparkSession.active()._jvm.com.ibm.icu.text.Transliterator.getInstance("Latin-ASCII")
+        chars = [chr(c) for a, b in FOLDED for c in range(a, b) if unicodedata.category(chr(c)) not in ("Zl", "Zp", "Cn")]
+        got = icu.transliterate("\n".join(chars)).split("\n")
+        _folds.update((c, x) for c, x in zip(chars, got, strict=True) if x != c)
+    return _folds
 
 
 def fix_utf8(c: Column) -> Column:
@@ -29,10 +29,12 @@ def fix_utf8(c: Column) -> Column:
 
 def ascii_fold(c: Column) -> Column:
     table = fold_table()
-    c = F.translate(c, "".join(table), "".join(table.values()))
-    for a, b in SPELLED.items():
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    one = {a: b for a, b in table.items() if len(b) == 1}
+    folded = F.translate(c, "".join(one), "".join(one.values()))
+    for a, b in table.items():
+        if len(b) != 1:
+            folded = F.replace(folded, F.lit(a), F.lit(b))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c)
 
 
 def null_if_blank(c: Column) -> Column:

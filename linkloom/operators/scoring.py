@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.operators.blocking import attach, candidates, sides
 from linkloom.operators.comparisons import Comparison, gammas
 from linkloom.operators.model import LinkModel
+from linkloom.sources.tables import save_table
 
 
 def bayes_factor(c: Comparison, model: LinkModel) -> Column:
@@ -24,17 +25,17 @@ def value_shares(records: DataFrame, column: str) -> DataFrame:
     return n.join(F.broadcast(n.agg(F.sum("n").alias("total")))).select(column, (F.col("n") / F.col("total")).alias("share"))
 
 
-def score(pairs: DataFrame, records: DataFrame, model: LinkModel) -> DataFrame:
+def score(pairs: DataFrame, records: DataFrame, model: LinkModel, counted: DataFrame | None = None) -> DataFrame:
     """id_l, id_r, match_weight, match_probability, bf_<comparison>, bf_tf_adj_<comparison>, gamma_<comparison>.
 
     An exact level with a term-frequency column is worth its u over the value's share, on top of its Bayes factor. The
-    shares are joined to records, not to pairs.
+    shares are joined to records, not to pairs; they are counted on the records, or on those of counted.
     """
     cs = model.comparisons
     adjusted = [(c, i, x.tf) for c in cs for i, x in enumerate(c.levels) if x.tf]
     left = records
     for _, _, column in adjusted:
-        left = left.join(value_shares(records, column).withColumnRenamed("share", f"share_{column}"), column, "left")
+        left = left.join(value_shares(records if counted is None else counted, column).withColumnRenamed("share", f"share_{column}"), column, "left")
     columns = sorted({x for c in cs for x in c.inputs} | {f"share_{a[2]}" for a in adjusted})
     got = gammas(attach(pairs, left, *columns), cs)
     got = got.withColumns({f"bf_{c.name}": bayes_factor(c, model) for c in cs})
@@ -66,6 +67,11 @@ def predictions(scored: DataFrame) -> DataFrame:
     return scored.select(F.lit("d1").alias("source_dataset_l"), F.col("id_l").alias("unique_id_l"), F.lit("d2").alias("source_dataset_r"), F.col("id_r").alias("unique_id_r"), *[c for c in scored.columns if c.startswith(("match_", "bf_"))])
 
 
+def save_predictions(scored: DataFrame, path: str) -> DataFrame:
+    """Writes the columns of predictions() and no others; the table as read again."""
+    return save_table(predictions(scored), path)
+
+
 def histogram(scored: DataFrame, column: str = "match_weight", width: int = 2) -> DataFrame:
     return scored.groupBy((F.floor(F.col(column) / width) * width).cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
@@ -76,12 +82,24 @@ def above(scored: DataFrame, thresholds: tuple[float, ...] = (0.5, 0.9, 0.99)) -
     return counts.select(F.explode(F.array(*[F.struct(F.lit(t).cast("double").alias("threshold"), F.col(f"t{i}").alias("pairs")) for i, t in enumerate(thresholds)])).alias("x")).select("x.*")
 
 
-def unlinkables(records: DataFrame, model: LinkModel, width: int = 1) -> DataFrame:
-    """bin, share: records whose weight against themselves stays below the bin's upper end."""
-    own = sides(records)[0].select("unique_id").union(sides(records)[1].select("unique_id")).distinct()
-    twin = records.withColumn("source_dataset", F.lit("d1")).unionByName(records.withColumn("source_dataset", F.lit("d2")))
-    s = score(own.select(F.col("unique_id").alias("id_l"), F.col("unique_id").alias("id_r")), twin, model)
-    return histogram(s, width=width)
+def self_weights(records: DataFrame, model: LinkModel) -> DataFrame:
+    """source_dataset, unique_id, match_weight: each record against itself. Ids count within their table."""
+    out = []
+    for name, own in zip(("d1", "d2"), sides(records), strict=True):
+        twin = own.withColumn("source_dataset", F.lit("d1")).unionByName(own.withColumn("source_dataset", F.lit("d2")))
+        s = score(own.select(F.col("unique_id").alias("id_l"), F.col("unique_id").alias("id_r")), twin, model, counted=records)
+        out.append(s.select(F.lit(name).alias("source_dataset"), F.col("id_l").alias("unique_id"), "match_weight"))
+    return out[0].unionByName(out[1])
+
+
+def unlinkables(records: DataFrame, model: LinkModel, digits: int = 2) -> DataFrame:
+    """match_weight (rounded), n, share: the share of records that reach at most that weight against themselves, and so can't be
+    linked where more is asked for.
+    """
+    n = self_weights(records, model).groupBy(F.round("match_weight", digits).alias("match_weight")).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("all").orderBy("match_weight")  # rows: distinct rounded weights
+    n = n.withColumn("all", F.lit(0)).withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy("all")))
+    return n.select("match_weight", "n", (F.col("upto") / F.col("total")).alias("share"))
 
 
 def nearest_level(bf: Column, model: LinkModel, name: str) -> Column:

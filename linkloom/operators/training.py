@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import logging
+import math
 import os
 from dataclasses import dataclass
 
@@ -15,6 +17,12 @@ from linkloom.operators.comparisons import Comparison, gammas
 from linkloom.operators.model import LinkModel, signature
 
 
+#: Set up by sources.tables.log_to().
+LOG = logging.getLogger("linkloom.fit")
+#: Columns that stand for others in a block.
+STANDS_FOR = {"name_key": "name_tokens"}
+
+
 def level_counts(records: DataFrame, c: Comparison) -> DataFrame:
     """gamma, n: pairs of the whole cross product at each level.
 
@@ -77,10 +85,11 @@ def em(counts: dict[str, np.ndarray], n: np.ndarray, u: dict[str, list[float]],
     """EM over level patterns. counts: each comparison's level per pattern (-1: no evidence); n: pairs per pattern.
 
     u is fixed, and so are the m of the comparisons in fixed. Without a start, agreement levels begin high and fall off.
-    Stops where no parameter moves by the tolerance.
+    Stops where no parameter moves by the tolerance; without pairs, all stays as it begins.
     """
     m = {c: np.array(start[c], float) if start and c in start else initial(len(u[c])) for c in counts}
-    for step in range(1, most + 1):
+    step = 0
+    for step in range(1, most + 1 if n.sum() > 0 else 1):
         ratio = np.log(prior / (1 - prior)) * np.ones(len(n))
         for c, g in counts.items():
             with np.errstate(divide="ignore"):
@@ -96,6 +105,7 @@ def em(counts: dict[str, np.ndarray], n: np.ndarray, u: dict[str, list[float]],
         if not fix_prior:
             new_prior = float(weight.sum() / n.sum())
             moved, prior = max(moved, abs(new_prior - prior)), min(max(new_prior, 1e-12), 1 - 1e-12)
+        LOG.info("iteration %d: largest change %.3g, share of matches %.4g", step, moved, prior)
         if moved < tolerance:
             break
     return Session(prior, {c: x.tolist() for c, x in m.items()}, step)
@@ -125,15 +135,34 @@ def corrected(u: dict[str, list[float]], m: dict[str, list[float]], prior: float
     return {c: [max((x - prior * y) / (1 - prior), floor) for x, y in zip(u[c], m[c], strict=True)] for c in u}
 
 
+def moved_levels(u: dict[str, list[float]], new: dict[str, list[float]], comparisons: list[Comparison], bits: float = 0.05) -> list[tuple[str, str, float]]:
+    """variable, level and change in bits of the levels that the correction moves by more than that."""
+    out = [(c.name, x.label, math.log2(b / a)) for c in comparisons for x, a, b in zip(c.levels, u[c.name], new[c.name], strict=True)]
+    return [x for x in out if abs(x[2]) > bits]
+
+
+def estimable(comparisons: list[Comparison], *keys: str) -> list[Comparison]:
+    """Comparisons that read none of a block's columns; within a block, the others tell nothing."""
+    used = {STANDS_FOR.get(k, k) for k in keys}
+    return [c for c in comparisons if not used & set(c.inputs)]
+
+
+def pairs_in_block(records: DataFrame, *keys: str) -> int:
+    return block(records, *keys).count()
+
+
 def train(records: DataFrame, comparisons: list[Comparison], n_matches: float, max_pairs: float = float("inf"), seed: int = 0, cache: str | None = None) -> tuple[LinkModel, dict]:
     """Two sessions: pairs with the same name key, match share free, estimate all but the name; pairs of the same area and
-    age estimate the name, all else fixed, with the match share held at what the first fit implies.
+    age estimate the name, all else fixed, with the match share held at what the first fit implies. A session whose block has no pairs
+    leaves its parameters as they begin; without records on a side there is nothing to fit, which is an error.
     """
     n = {r[0]: r[1] for r in records.groupBy("source_dataset").count().collect()}
-    total = n["d1"] * n["d2"]
+    total = n.get("d1", 0) * n.get("d2", 0)
+    if not total:
+        raise ValueError(f"no pairs to learn from: {n}")
     prior = n_matches / total
     u = floored(estimate_u(records, comparisons, max_pairs, seed, cache), min(max_pairs, total))
-    others = [c for c in comparisons if c.name != "name"]
+    others = estimable(comparisons, "name_key")
     key = attach(block(records, "name_key"), records)
     area: Column = F.coalesce((F.col("adm3_l") == F.col("adm3_r")) & (F.col("age_l") == F.col("age_r")), F.lit(False))
     rows = gammas(key, others).withColumn("area", area).groupBy(*[f"gamma_{c.name}" for c in others], "area").agg(F.count("*").alias("n")).collect()
@@ -141,21 +170,25 @@ def train(records: DataFrame, comparisons: list[Comparison], n_matches: float, m
     pairs, inside = np.array([r["n"] for r in rows], float), np.array([r["area"] for r in rows])
     first = em(counts, pairs, u, 0.5)
     weight = pairs * posterior(counts, first, u)
-    share = float(weight[inside].sum() / weight.sum())
+    share = float(weight[inside].sum() / weight.sum()) if weight.sum() > 0 else 0.0
     counts2, pairs2 = collected(patterns(attach(block(records, "adm3", "age"), records), comparisons), comparisons)
     held = min(max(n_matches * share / max(1.0, pairs2.sum()), 1e-9), 1 - 1e-9)
-    # Geography and age are what the block is made of, so they tell nothing within it.
-    active = {c: g for c, g in counts2.items() if c not in ("geo", "age")}
-    second = em(active, pairs2, u, held, start=first.m, fixed=tuple(c for c in active if c != "name"), fix_prior=True)
-    m = first.m | {"name": second.m["name"]}
+    active = {c.name: counts2[c.name] for c in estimable(comparisons, "adm3", "age")}
+    second = em(active, pairs2, u, held, start=first.m, fixed=tuple(c for c in active if c in first.m), fix_prior=True)
+    if abs(second.prior / held - 1) > 1e-6:
+        raise AssertionError(f"share of matches {second.prior}, held at {held}")
+    m = first.m | {c: x for c, x in second.m.items() if c not in first.m}
     m = {c.name: m[c.name] for c in comparisons}
-    model = LinkModel(prior, m, corrected(u, m, prior, 1 / min(max_pairs, total)), comparisons)
-    info = {"key_pairs": int(pairs.sum()), "key_prior": first.prior, "area_pairs": int(pairs2.sum()), "area_prior": held, "area_share": share, "iterations": [first.iterations, second.iterations]}
+    u_new = corrected(u, m, prior, 1 / min(max_pairs, total))
+    model = LinkModel(prior, m, u_new, comparisons)
+    info = {"key_pairs": int(pairs.sum()), "key_prior": first.prior, "area_pairs": int(pairs2.sum()), "area_prior": held, "area_share": share, "iterations": [first.iterations, second.iterations], "moved": moved_levels(u, u_new, comparisons)}
+    info["sanity"] = sanity(model, min(max_pairs, total), n_matches) | {"implied_key": pairs.sum() * first.prior, "implied_area": float(pairs2.sum() * held)}
+    LOG.info("fit: %s", info)
     return model, info
 
 
 def sanity(model: LinkModel, n_pairs: float, n_matches: float) -> dict:
     """Checks that need no reference linkage."""
-    m = {(v, x): y for v, x, y, *_ in model.rows()}
+    m = {(v, x): y or 0.0 for v, x, y, *_ in model.rows()}
     sparse = [(v, x) for v, x, _, u, *_ in model.rows() if round(u * n_pairs) < 20]
-    return {"m_sex_agree": m["sex", "agree"], "m_name_high": sum(y for (v, x), y in m.items() if v == "name" and x.startswith(("agree", "strong"))), "sparse_levels": sparse, "matches": n_matches}
+    return {"m_sex_agree": m.get(("sex", "agree")), "m_name_high": sum(y for (v, x), y in m.items() if v == "name" and x.startswith(("agree", "strong"))), "sparse_levels": sparse, "matches": n_matches}

@@ -48,7 +48,8 @@ def best(pairs: DataFrame, *ties: str) -> DataFrame:
 
 def snap_map(df: DataFrame, value: str, min_share: float = 0.01, theta: float = 0.9) -> DataFrame:
     """from, to, sim: rare values and the frequent value that each resembles most (ties: the first in order)."""
-    counts = value_counts(df, value).withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))))
+    counts = value_counts(df, value)
+    counts = counts.join(F.broadcast(counts.agg(F.sum("n").alias("total"))))
     frequent = F.col("n") >= min_share * F.col("total")
     pairs = likely_pairs(counts.where(~frequent).select(F.col(value).alias("a")), counts.where(frequent).select(F.col(value).alias("b")), theta)
     return best(pairs, "b").select(F.col("a").alias("from"), F.col("b").alias("to"), "sim")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkloom.functions import occupations, places, text
+from linkloom.functions import occupations, places
 from linkloom.operators.comparisons import default
 from linkloom.operators.model import PUBLISHED, prior_bits
 
@@ -15,12 +15,15 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+#: Letters without a decomposition that occur in Latin text, and their ASCII spelling.
+SPELLED = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ł": "L", "ł": "l", "ı": "i", "Þ": "TH", "þ": "th", "Ð": "D", "ð": "d"}
+
+
 def fold(x: str) -> str:
-    t = text.fold_table()
-    x = f"translate({x}, {q(''.join(t))}, {q(''.join(t.values()))})"
-    for a, b in text.SPELLED.items():
+    """The engine's own stripping of accents, and letters that have none to strip."""
+    for a, b in SPELLED.items():
         x = f"replace({x}, {q(a)}, {q(b)})"
-    return x
+    return f"strip_accents({x})"
 
 
 def std(x: str) -> str:

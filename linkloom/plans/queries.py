@@ -43,7 +43,7 @@ def txt(c: str, name: str | None = None):
 # Normalisers.
 
 
-@query(o.sql(f"SELECT doc_id, {o.std('left(text, 200)')} AS std FROM documents", "none AS (SELECT 1)"))
+@query(o.sql(f"SELECT doc_id, {o.std('text')} AS std FROM documents", "none AS (SELECT 1)"))
 def std_text(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", text.std_text(F.col("text")).alias("std"))
 
@@ -163,7 +163,7 @@ def block_union(spark, d):
 # Comparisons.
 
 
-@query(o.sql(f"SELECT a.t AS t, b.t AS s, round(jaro_similarity(a.t, b.t), 9) AS jaro, round({o.jw('a.t', 'b.t')}, 9) AS jw FROM v a, v b WHERE a.t < b.t", o.FIXTURE, o.CLEAN, "v AS (SELECT DISTINCT name_tokens[2] AS t FROM clean WHERE len(name_tokens) > 1 AND length(name_tokens[2]) >= 6)"))
+@query(o.sql(f"SELECT a.t AS t, b.t AS s, round(jaro_similarity(a.t, b.t), 9) AS jaro, round({o.jw('a.t', 'b.t')}, 9) AS jw FROM v a, v b WHERE a.t < b.t", o.FIXTURE, o.CLEAN, "v AS (SELECT DISTINCT unnest(name_tokens) AS t FROM clean)"))
 def jaro_winkler_pairs(spark, d):
     v = fixture.clean(spark, d).select(F.explode("name_tokens").alias("t")).distinct()
     pairs = v.join(v.withColumnRenamed("t", "s"), F.col("t") < F.col("s"))

@@ -7,7 +7,9 @@ import json
 import logging
 import os
 import time
+import zipfile
 from dataclasses import dataclass
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +57,35 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 
 
+def save_xlsx(df: DataFrame, path: str, most: int = 100_000) -> None:
+    """One sheet of a report of at most so many rows, as an XLSX file; more rows are an error."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows; write a table instead")
+
+    def cell(x: object) -> str:
+        if x is None:
+            return "<c/>"
+        if isinstance(x, (int, float)) and not isinstance(x, bool):
+            return f"<c><v>{x}</v></c>"
+        text = "; ".join(map(str, x)) if isinstance(x, (list, tuple)) else str(x)
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape("".join(c for c in text if c >= " " or c in chr(9) + chr(10)))}</t></is></c>'
+
+    lines = "".join(f"<row>{''.join(map(cell, r))}</row>" for r in [tuple(df.columns), *map(tuple, rows)])
+    main, office, package = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships", "http://schemas.openxmlformats.org/package/2006"
+    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    files = {
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/sheet.xml" ContentType="{kind}.worksheet+xml"/></Types>',
+        "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="report" sheetId="1" r:id="r1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="sheet.xml"/></Relationships>',
+        "xl/sheet.xml": f'<worksheet xmlns="{main}"><sheetData>{lines}</sheetData></worksheet>',
+    }
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body in files.items():
+            z.writestr(name, '<?xml version="1.0" encoding="UTF-8"?>' + body)
+
+
 def save_json(obj: object, path: str) -> None:
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     with open(path, "w") as f:

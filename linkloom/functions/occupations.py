@@ -103,10 +103,13 @@ RULES = {
 
 def from_text(c: Column) -> Column:
     """Sorted categories; other where text is there but no rule knows it; empty for null and unknown."""
-    s = std_text(c)
-    hits = F.array_sort(F.filter(F.array(*[F.when(s.rlike("|".join(words)), F.lit(k)) for k, words in RULES.items()]), lambda x: x.isNotNull()))
     none = F.array().cast("array<string>")
-    return F.when(s.isNull() | s.rlike(UNKNOWN), none).when(F.size(hits) == 0, F.array(F.lit("other"))).otherwise(hits)
+
+    def categories(s: Column) -> Column:
+        hits = F.array_sort(F.filter(F.array(*[F.when(s.rlike("|".join(words)), F.lit(k)) for k, words in RULES.items()]), lambda x: x.isNotNull()))
+        return F.when(s.isNull() | s.rlike(UNKNOWN), none).otherwise(F.transform(F.array(hits), lambda x: F.when(F.size(x) == 0, F.array(F.lit("other"))).otherwise(x))[0])
+
+    return F.get(F.transform(F.array(std_text(c)), categories), F.lit(0))  # as a member of an array, the text is made canonical once
 
 
 def from_flags(flags: dict[str, Column], other: Column, detail: Column) -> Column:

@@ -180,5 +180,5 @@ categories AS (
 
 
 def sql(body: str, *parts: str) -> str:
-    recursive = "RECURSIVE " if LINKS in parts else ""
+    recursive = "RECURSIVE " if any("greedy(" in p for p in parts) else ""
     return f"WITH {recursive}" + ",\n".join(parts) + "\n" + body

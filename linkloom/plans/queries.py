@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,12 @@ def query(sql: str | None = None):
     return add
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder for a table that a query writes, where driver and executors see it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/linkloom"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def joined(a: str, sep: str = "|") -> str:
     return f"array_to_string({a}, '{sep}')"
 
@@ -327,37 +334,6 @@ def missed_levels(spark, d):
     return evaluation.missed_levels(disposed(spark, d), p, LABELS)
 
 
-@query()
-def pr_sweep(spark, d):
-    """Each row is a greedy assignment of its own; held against one run after another in the tests."""
-    s = evaluation.prefilter(scores_of(spark, d), PRIOR)
-    return evaluation.sweep(s, truth(spark, d), {"current": PRIOR, "future": FUTURE.prior}, [0.1, 0.3, 0.5, 0.7, 0.9])
-
-
-@query()
-def projection(spark, d):
-    r = fixture.rows(spark, d).groupBy("source_dataset").count().collect()
-    n = {x[0]: x[1] for x in r}
-    s = evaluation.prefilter(scores_of(spark, d), PRIOR)
-    got = evaluation.sweep(s, truth(spark, d), {"future": FUTURE.prior}, [0.5, 0.9])
-    return evaluation.project(got, *evaluation.scales(PRIOR, n["d1"], n["d2"], FUTURE))
-
-
-@query()
-def prior_sensitivity(spark, d):
-    return evaluation.sensitivity(evaluation.prefilter(scores_of(spark, d), PRIOR), truth(spark, d), PRIOR)
-
-
-@query()
-def prior_table(spark, d):
-    return evaluation.prior_table(spark, PRIOR, FUTURE)
-
-
-@query()
-def unlinkables(spark, d):
-    return scoring.unlinkables(fixture.records(spark, d), LinkModel.published(PRIOR))
-
-
 # Audit.
 
 _COLS = ("age", "sex", "adm1", "adm2", "adm3")

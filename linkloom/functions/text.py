@@ -28,14 +28,10 @@ def fix_utf8(c: Column) -> Column:
 
 
 def ascii_fold(c: Column) -> Column:
-    """One character for another by translation; characters that become several, or none, one after another where there are any."""
-    table = fold_table()
-    one, many = ({a: b for a, b in table.items() if (len(b) == 1) == single} for single in (True, False))
-    folded = F.translate(c, "".join(one), "".join(one.values()))
-    known, any_of = F.create_map(*[F.lit(x) for p in many.items() for x in p]), f"[{''.join(many)}]"
-    there = F.array_distinct(F.regexp_extract_all(c, F.lit(any_of), F.lit(0)))
-    spelled = F.aggregate(there, folded, lambda x, y: F.replace(x, y, F.element_at(known, y)))
-    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).when(c.rlike(any_of), spelled).otherwise(folded)
+    """Each character beyond ASCII that a text holds is replaced at all its places at once; a text holds few different ones."""
+    known = F.create_map(*[F.lit(x) for p in fold_table().items() for x in p])
+    there = F.array_distinct(F.regexp_extract_all(c, F.lit(r"[^\x00-\x7F]"), F.lit(0)))
+    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).otherwise(F.aggregate(there, c, lambda x, y: F.replace(x, y, F.coalesce(F.element_at(known, y), y))))
 
 
 def null_if_blank(c: Column) -> Column:

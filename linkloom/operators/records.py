@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import occupations, phones, places, text
 from linkloom.operators import vocab
+from linkloom.sources.tables import cut
 
 EXPORT = ["unique_id", "source_dataset", "name_tokens", "block_tokens", "tf_tokens", "tf_bits", "name_key", "date", "age", "sex", "adm1", "adm2", "adm3", "adm4_tokens", "job_cats", "phones"]
 
@@ -27,11 +28,14 @@ def clean(rows: DataFrame) -> DataFrame:
 
 
 def harmonize(d1: DataFrame, d2: DataFrame, theta: float = 0.94, max_n: int = 5, max_records: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Spelling variants of places aligned between two clean tables, and phone numbers of many records dropped."""
-    d1, d2 = (vocab.snap_rare_levels(d, "adm1") for d in (d1, d2))
-    for c in ("adm2", "adm3"):
-        d1, d2, _, _ = vocab.align_both(d1, d2, c, theta=theta, max_n=max_n)
-    d1, d2, _, _ = vocab.align_both(d1, d2, "adm4_tokens", theta=theta, max_n=max_n, tokens=True)
+    """Spelling variants of places aligned between two clean tables, and phone numbers of many records dropped.
+
+    Each step reads both tables several times, so what it makes is written before the next one.
+    """
+    d1, d2 = (cut(vocab.snap_rare_levels(d, "adm1")) for d in (d1, d2))
+    for c in ("adm2", "adm3", "adm4_tokens"):
+        d1, d2, _, _ = vocab.align_both(d1, d2, c, theta=theta, max_n=max_n, tokens=c == "adm4_tokens")
+        d1, d2 = cut(d1), cut(d2)
     gone = vocab.shared_values(d1, d2, "phones", "row", max_records)
     return vocab.drop_values(d1, "phones", gone, "row"), vocab.drop_values(d2, "phones", gone, "row")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.similarity import jaro_winkler
 from linkloom.functions.text import full_tokens
+from linkloom.sources.tables import cut
 
 #: Above this many values a vocabulary is no longer broadcast.
 BROADCAST_VALUES = 200_000
@@ -100,6 +101,7 @@ def align_both(d1: DataFrame, d2: DataFrame, value: str, row: str = "row", theta
     """Second table to the first, then rare values of the first to the second as it is then; both maps."""
     f = align_tokens if tokens else align_vocab
     d2, to_1 = f(d2, d1, value, row, theta)
+    d2, to_1 = cut(d2), cut(to_1)  # the second step reads them more than once
     d1, to_2 = f(d1, d2, value, row, theta, max_n)
     return d1, d2, to_1, to_2
 

@@ -163,9 +163,10 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
     spark = index.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = list(batches)
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         key, node, low, high, left = (table.column(i).to_numpy() for i in range(5))
         order = np.lexsort((high, key))
         key, node, low, high, left = (x[order] for x in (key, node, low, high, left))
@@ -193,16 +194,16 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
         else:
             # The j-th neighbour in size order; a list ends, or a block of it is skipped, when no entry is near enough.
             live, j = np.flatnonzero(np.arange(len(key)) > mark), 1
-            found, held = [], 0
+            found, gathered = [], 0
             while len(live):
                 other = live - j
                 near = den * high[other] >= num * low[live]
                 hit = near & hits(live, other)
                 found.append(np.stack([other[hit], live[hit]]))
-                held += found[-1].shape[1]
-                if held > PAIRS:
+                gathered += found[-1].shape[1]
+                if gathered > PAIRS:
                     yield from batch(*np.concatenate(found, axis=1))
-                    found, held = [], 0
+                    found, gathered = [], 0
                 live, j = live[near], j + 1
                 live = live[live - j >= mark[live]]
             if found:

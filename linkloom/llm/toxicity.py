@@ -10,7 +10,7 @@ Fitting uses at most MAX_ROWS labelled rows, those with the smallest hashes of t
 driver's memory; the same rows at any partitioning). Executors count words and swaps and cut rows down to the chosen buckets. Scoring covers every row and every whole text with the weights
 broadcast (their size is fixed).
 
-Several labels of one doc_id: the largest counts. Null label, null text or null id: never learned from. Scores: a null or
+Several labels of one doc_id: the largest counts; several texts: that of the least hash is learned from. Null label, null text or null id: never learned from. Scores: a null or
 empty text has the score of a text without known words. With no row, or one class only, to learn from, every score is the
 smoothed share of toxic rows. A null id is never held out. Repeated rows give repeated results; other columns are
 ignored.
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(some), "doc_id")  # max_rows ids at most
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(max_rows)  # an id may have several texts
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("toxic").alias("toxic"))
     with Workspace(docs.sparkSession, "toxicity") as ws:
         return learn(ws.save(rows.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")).repartition(shuffle_parts(docs.sparkSession)), "rows"))
 

@@ -29,7 +29,7 @@ def fix_utf8(c: Column) -> Column:
 
 def ascii_fold(c: Column) -> Column:
     """Each character beyond ASCII that a text holds is replaced at all its places at once; a text holds few different ones."""
-    known = F.create_map(*[F.lit(x) for p in fold_table().items() for x in p])
+    known = F.str_to_map(F.lit("\x02".join(f"{x}\x01{y}" for x, y in fold_table().items())), F.lit("\x02"), F.lit("\x01"))  # one literal, folded when planned
     there = F.array_distinct(F.regexp_extract_all(c, F.lit(r"[^\x00-\x7F]"), F.lit(0)))
     return F.when(~c.rlike(r"[^\x00-\x7F]"), c).otherwise(F.aggregate(there, c, lambda x, y: F.replace(x, y, F.coalesce(F.element_at(known, y), y))))
 

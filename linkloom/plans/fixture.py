@@ -42,5 +42,6 @@ def tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written once to the shared folder: both sides of every join read it."""
-    return cut(rec.export(*tables(spark, sf_dir)))
+    """Written once to the shared folder: both sides of every join read it. The export reads the clean rows many times, so these are written too."""
+    c = cut(clean(spark, sf_dir))
+    return cut(rec.export(c.where("source_dataset = 'd1'"), c.where("source_dataset = 'd2'")))

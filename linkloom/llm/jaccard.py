@@ -7,9 +7,10 @@ A document's set is its distinct k-word shingles, as 64-bit hashes. Two document
    In the same pass tasks count shingles in a sketch of fixed size; its counts only set the order below, never a result.
 2. Each set's shingles in a global order, rare first. Two linked sets share a shingle within their prefixes of
    ``n - ceil(num * n / den) + 1`` shingles. The prefixes make the index; lists with a single class are left at once.
-3. Skipping in lists. A list is ordered by set size and kept in blocks, so whole blocks outside the size bound are skipped;
-   of the rest, pairs are skipped by position, where what follows the shared shingle is too short for the overlap needed.
-   Before the other lists are read, each long list compares its sets with one pivot, the set with the fewest rarer
+3. Skipping in lists. A list is ordered by set size and cut into blocks of about STEP entries. Of each block the sizes and
+   the farthest that its sets reach behind the shared shingle are known, so two blocks meet only if size and position leave
+   a pair of them possible; each meeting is a group of its own, which any task may take. In a meeting entries are stepped in
+   order of size until none is near enough, and pairs are skipped by position. Before the other lists are read, each long list compares its sets with one pivot, the set with the fewest rarer
    shingles. Sets that link so form families, and for each the distance to the family's leader is known. From then on
    families stand for their sets: two families are compared by their leaders, whose answer settles all pairs of members
    by the triangle inequality of the Jaccard distance (linked leaders join the families; leaders farther than the bound
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import Workspace, components, shuffle_parts
@@ -42,8 +43,14 @@ from linkloom.llm.textarrays import frugal, mix, shingle_rows, slices
 CELLS, BLOCK = 1 << 22, 1 << 16
 #: Lists longer than this are first compared with a pivot.
 LONG = 16
-#: Pairs that a task gathers before it drops repeated ones and hands them on.
-PAIRS = 1 << 20
+#: Entries of a block of a list.
+STEP = 1 << 10
+#: Index entries that a task holds at once while it looks for lists of one class.
+HELD = 1 << 21
+#: Cells with more sets than this, and with far more than the others, are dealt over all parts; their lists are all kept.
+HEAVY = 1 << 16
+#: Pairs that a task gathers before it drops repeated ones and hands them on; entries that it holds besides a last meeting.
+PAIRS, ENTRIES = 1 << 20, 1 << 18
 
 
 def overlap_needed(a, b, num: int, den: int):
@@ -93,10 +100,22 @@ def levels(made: DataFrame) -> np.ndarray:
     return out
 
 
-def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """The index without lists of one class: key, sig, n, pos (position in the set's order)."""
+def prefix_of(n, num: int, den: int):
+    """How many of a set's n shingles are indexed."""
+    return n - -(-num * n // den) + 1
+
+
+def shared_prefixes(docs: DataFrame, level: np.ndarray, rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The index without lists of one class: key, sig, n, pos (position in the set's order).
+
+    rows: n of every document; their number of prefix shingles sets how many parts there are, so that a part is of HELD
+    entries at most. A key goes to one part, but where its cell of the sketch is heavy: there the set counts too, and lists
+    of one class, which make no pair, stay.
+    """
     spark = docs.sparkSession
-    parts = shuffle_parts(spark)
+    entries, shingles = rows.where("n > 0").agg(F.sum(F.expr(f"n - ceil({num} * n / {den}) + 1")), F.sum("n")).head()
+    parts = max(shuffle_parts(spark), -(-int(entries or 0) // HELD))
+    heavy = 8 * np.log2(1 + max(HEAVY, 16 * int(shingles or 0) / CELLS))
     held = spark.sparkContext.broadcast(level)
     kinds = (np.uint64, "V16", np.uint32, np.uint32)
 
@@ -115,7 +134,7 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
                     if len(seen) < 1_000_000:
                         seen.add(mark)
                     order = np.sort((rank[(s & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)))
-                    key.append(order[: len(s) - -(-num * len(s) // den) + 1])
+                    key.append(order[: prefix_of(len(s), num, den)])
                     sig.append(mark)
                     size.append(len(s))
                 if not key:
@@ -123,12 +142,14 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
                 count = np.array([len(x) for x in key])
                 pos = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 key = np.concatenate(key)
-                to = (mix(key) % np.uint64(parts)).astype(np.int64)
+                marks = np.repeat(np.array(sig, "V16"), count)
+                salt = np.where(key >> np.uint64(56) > heavy, mix(marks.view(np.uint64)[::2]), np.uint64(0))
+                to = (mix(key ^ salt) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 cut = np.searchsorted(to[order], np.arange(parts + 1))
-                columns = [x[order] for x in (key, np.repeat(np.array(sig, "V16"), count), np.repeat(np.array(size, np.uint32), count), pos.astype(np.uint32))]
+                columns = [x[order] for x in (key, marks, np.repeat(np.array(size, np.uint32), count), pos.astype(np.uint32))]
                 some = np.flatnonzero(np.diff(cut))
-                yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array([c[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()) for c in columns]], names=["part", "key", "sig", "n", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array([c[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()) for c in columns]], names=["part", "key", "sig", "n", "pos"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[bytes]] = [[], [], [], []]
@@ -144,39 +165,71 @@ def shared_prefixes(docs: DataFrame, level: np.ndarray, k: int, num: int, den: i
         once = np.append(True, (key[1:] != key[:-1]) | (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
         key, order = key[once], order[once]
         same = key[1:] == key[:-1]
-        more = np.append(False, same) | np.append(same, False)
+        more = np.append(False, same) | np.append(same, False) | (key >> np.uint64(56) > heavy)
         key, at = key[more], order[more]
         sig, n, pos = sig[at], n[at], pos[at]
         for a in range(0, len(key), 100_000):
             s = slice(a, a + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(sig[s]), [None, pa.py_buffer(sig[s].tobytes())]).cast(pa.binary()), pa.array(n[s].astype(np.int32)), pa.array(pos[s].astype(np.int32))], names=["key", "sig", "n", "pos"])
 
-    rows = docs.select("text").mapInArrow(frugal(prefixes), "part long, key binary, sig binary, n binary, pos binary")
-    return rows.repartition(parts, "part").mapInArrow(frugal(shared), "key long, sig binary, n int, pos int")
+    packed = docs.select("text").mapInArrow(frugal(prefixes), "part int, key binary, sig binary, n binary, pos binary")
+    return packed.repartitionById(parts, "part").mapInArrow(frugal(shared), "key long, sig binary, n int, pos int")
+
+
+def possible(a: str, b: str, num: int, den: int) -> str:
+    """The bound of sizes and positions on two entries or blocks, of which n_high_a is not above n_high_b."""
+    return f"{den} * n_high_{a} >= {num} * n_low_{b} and (1 + least(left_{a}, left_{b})) * {num + den} >= {num} * (n_low_{a} + n_low_{b})"
 
 
-def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
-    """Candidate pairs (a, b) of index rows key, node, n_low, n_high, left (the most that may follow the key).
+def with_pivots(index: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b): each node of a list longer than LONG with the list's pivot, if size and position allow it.
 
-    pivots: only long lists, each node with the list's pivot. Otherwise all pairs that skipping leaves.
+    The pivot is the set with the fewest rarer shingles: of edited copies the least edited one, in most lists of a family.
+    It comes from an aggregate with partial sums, and the join may be split by adaptive execution.
     """
-    spark = index.sparkSession
+    pivot = index.groupBy("key").agg(F.count("*").alias("many"), F.min(F.struct((F.col("n") - F.col("left")).alias("rarer"), "node", "n", "left")).alias("p")).where(F.col("many") > LONG)
+    both = index.join(pivot.select("key", "p"), "key").where("node <> p.node")
+    fits = f"{den} * least(n, p.n) >= {num} * greatest(n, p.n) and (1 + least(left, p.left)) * {num + den} >= {num} * (n + p.n)"
+    return both.where(fits).select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        key, node, low, high, left = (table.column(i).to_numpy() for i in range(5))
-        order = np.lexsort((high, key))
-        key, node, low, high, left = (x[order] for x in (key, node, low, high, left))
-        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        length = np.diff(np.append(begin, len(key)))
-        mark = np.repeat(begin, length)
-
-        def hits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            """Which entries may link by position."""
-            return 1 + np.minimum(left[a], left[b]) >= overlap_needed(low[a], low[b], num, den)
+
+def meetings(ws: Workspace, index: DataFrame, num: int, den: int) -> DataFrame:
+    """Entries as key, x, y (the blocks that meet), side (1 in the block of larger sets), node, n_low, n_high, left.
+
+    index: key, node, n_low, n_high, left. A list of up to STEP entries is one block that meets itself.
+    """
+    entry = ["node", "n_low", "n_high", "left"]
+    long = ws.save(index.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > STEP).select("key"), "long", tidy=True)
+    whole = lambda df: df.select("key", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), F.lit(0).alias("side"), *entry)
+    if long.isEmpty():
+        return whole(index)
+    listed = index.join(long, "key", "left_semi")
+    # Where the entries of a size begin, by a running sum over the list's sizes; they are dealt among the blocks they reach.
+    sizes = listed.groupBy("key", "n_high").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("key").orderBy("n_high")) - F.col("c")
+    placed = listed.join(sizes.select("key", "n_high", "c", before.alias("before")), ["key", "n_high"])
+    placed = ws.save(placed.select("key", F.expr(f"(before + pmod(xxhash64(node), c)) div {STEP}").alias("block"), *entry), "placed", tidy=True)
+    blocks = placed.groupBy("key", "block").agg(F.min("n_low").alias("n_low"), F.max("n_high").alias("n_high"), F.max("left").alias("left"))
+    b = lambda c: blocks.select("key", F.col("block").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in entry[1:]])
+    met = ws.save(b("x").join(b("y"), "key").where("x <= y").where(possible("x", "y", num, den)).select("key", "x", "y"), "meetings", tidy=True)
+    sides = [placed.join(met.withColumn("block", F.col(c)), ["key", "block"]).where("x < y" if side else "true").select("key", "x", "y", F.lit(side).alias("side"), *entry) for side, c in enumerate("xy")]
+    return whole(index.join(long, "key", "left_anti")).union(sides[0]).union(sides[1])
+
+
+def in_lists(met: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) that skipping leaves, of the entries of meetings."""
+    most, enough = PAIRS, ENTRIES
+
+    def compared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, x, y, side, node, low, high, left = (table.column(i).to_numpy() for i in range(8))
+        order = np.lexsort((high, side, y, x, key))
+        key, x, y, side, node, low, high, left = (c[order] for c in (key, x, y, side, node, low, high, left))
+        here = np.arange(len(key))
+        begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
+        mark = np.repeat(begin, np.diff(np.append(begin, len(key))))
+        # Within a block an entry meets all before it, from the nearest in size on; else those of the other block.
+        smaller = np.add.reduceat(side == 0, begin)
+        nearest = np.where(x == y, here - 1, mark + np.repeat(smaller, np.diff(np.append(begin, len(key)))) - 1)
 
         def batch(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
             a, b = node[a], node[b]
@@ -184,32 +237,42 @@ def in_lists(index: DataFrame, num: int, den: int, pivots: bool) -> DataFrame:
             for i in range(0, len(pairs), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[i : i + 100_000, c]) for c in (0, 1)], names=["a", "b"])
 
-        if pivots:
-            # The set with the fewest rarer shingles: of edited copies the least edited one, in most lists of a family.
-            first = np.repeat(np.lexsort((node, high - left, key))[begin], length)
-            x = np.flatnonzero((np.repeat(length, length) > LONG) & (node[first] != node))
-            small, large = np.minimum(first[x], x), np.maximum(first[x], x)
-            hit = (den * high[small] >= num * low[large]) & hits(small, large)
-            yield from batch(small[hit], large[hit])
-        else:
-            # The j-th neighbour in size order; a list ends, or a block of it is skipped, when no entry is near enough.
-            live, j = np.flatnonzero(np.arange(len(key)) > mark), 1
-            found, gathered = [], 0
-            while len(live):
-                other = live - j
-                near = den * high[other] >= num * low[live]
-                hit = near & hits(live, other)
-                found.append(np.stack([other[hit], live[hit]]))
-                gathered += found[-1].shape[1]
-                if gathered > PAIRS:
-                    yield from batch(*np.concatenate(found, axis=1))
-                    found, gathered = [], 0
-                live, j = live[near], j + 1
-                live = live[live - j >= mark[live]]
-            if found:
+        live = np.flatnonzero(((x == y) | (side == 1)) & (nearest >= mark))
+        other, found, gathered = nearest[live], [], 0
+        while len(live):
+            near = den * high[other] >= num * low[live]
+            live, other = live[near], other[near]
+            hit = 1 + np.minimum(left[other], left[live]) >= overlap_needed(low[other], low[live], num, den)
+            found.append(np.stack([other[hit], live[hit]]))
+            gathered += found[-1].shape[1]
+            if gathered > most:
                 yield from batch(*np.concatenate(found, axis=1))
+                found, gathered = [], 0
+            more = other > mark[live]
+            live, other = live[more], other[more] - 1
+        if found:
+            yield from batch(*np.concatenate(found, axis=1))
 
-    return index.select("key", "node", "n_low", "n_high", "left").repartition(shuffle_parts(spark), "key").mapInArrow(frugal(run), "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in order of meetings; all but the last meeting, which may go on, are compared once there are enough."""
+        held, n = [], 0
+        for got in batches:
+            held.append(got)
+            n += got.num_rows
+            if n < enough:
+                continue
+            table = pa.Table.from_batches(held)
+            group = np.stack([table.column(i).to_numpy() for i in range(3)])
+            cut = np.flatnonzero((group != group[:, -1:]).any(0))
+            cut = int(cut[-1]) + 1 if len(cut) else 0
+            if cut:
+                yield from compared(table.slice(0, cut))
+                held, n = table.slice(cut).to_batches(), table.num_rows - cut
+        if n:
+            yield from compared(pa.Table.from_batches(held))
+
+    by = ["key", "x", "y"]
+    return met.repartition(*by).sortWithinPartitions(*by).mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -273,7 +336,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
         rows = made.where("block is null").select("doc_id", "n", "sig")
         classes = rows.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
         classes = ws.save(classes.select("sig", "doc_id", F.monotonically_increasing_id().alias("node")), "classes")
-        index = ws.save(shared_prefixes(docs.where("doc_id is not null"), rank, k, num, den), "index", tidy=True)
+        index = ws.save(shared_prefixes(docs.where("doc_id is not null"), rank, rows.where("doc_id is not null"), k, num, den), "index", tidy=True)
         index = ws.save(index.join(classes, "sig").select("key", "node", "n", (F.col("n") - F.col("pos") - 1).alias("left")), "lists")
 
         def sets_for(pairs: DataFrame, name: str) -> DataFrame:
@@ -282,7 +345,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
 
         single = index.select("key", "node", F.col("n").alias("n_low"), F.col("n").alias("n_high"), "left")
         # Families.
-        pivots = ws.save(in_lists(single, num, den, True), "pivots", tidy=True)
+        pivots = ws.save(with_pivots(index, num, den), "pivots", tidy=True)
         early = sets_for(pivots, "early")
         met = ws.save(distances(pivots, classes, early), "met", tidy=True)
         near = met.where(linked)
@@ -299,7 +362,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFram
         radius = reach.groupBy("leader").agg(F.max("d").alias("r"))
         led = single.join(reach, "node", "left").select("key", F.coalesce("leader", "node").alias("node"), "n_low", "n_high", "left")
         led = led.groupBy("key", "node").agg(F.min("n_low").alias("n_low"), F.max("n_high").alias("n_high"), F.max("left").alias("left"))
-        pairs = ws.save(in_lists(led, num, den, False), "pairs", tidy=True)
+        pairs = ws.save(in_lists(meetings(ws, ws.save(led, "led", tidy=True), num, den), num, den), "pairs", tidy=True)
         fresh = ws.save(pairs.join(met, ["a", "b"], "left_anti"), "fresh", tidy=True)
         late = sets_for(fresh, "late")
         told = ws.save(distances(fresh, classes, late).select("a", "b", "same", "all").union(met.join(pairs, ["a", "b"], "left_semi").select("a", "b", "same", "all")), "told", tidy=True)

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.llm import chat, decontamination, jaccard, langid, mixing, neardup, repeats, secrets, textarrays, tokenids, toxicity
+from linkloom.llm.common import Workspace
 from linkloom.llm.queries import vocabulary
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, start int, node int, sig string"
@@ -113,9 +114,10 @@ def groups(ids, linked):
     return {i: root(i) for i in ids}
 
 
-@pytest.mark.parametrize("long", [16, 2])
-def test_jaccard_join(spark, texts, long, monkeypatch):
-    monkeypatch.setattr(jaccard, "LONG", long)
+@pytest.mark.parametrize(("long", "step", "heavy"), [(16, 1 << 10, 1 << 16), (2, 3, 4), (1000, 2, 0)])
+def test_jaccard_join(spark, texts, long, step, heavy, monkeypatch):
+    for name, x in (("LONG", long), ("STEP", step), ("HEAVY", heavy)):
+        monkeypatch.setattr(jaccard, name, x)
     sets = {i: shingles(t) for i, t in texts}
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     want = groups(sets, links)
@@ -126,6 +128,29 @@ def test_jaccard_join(spark, texts, long, monkeypatch):
     assert kept == set(want.values())
 
 
+def test_jaccard_blocks_lose_no_pair(spark, tmp_path, monkeypatch):
+    """All pairs of lists that size and position allow, each once, whatever the blocks; sets of families have a range of sizes."""
+    rng = random.Random(8)
+    rows = []
+    for key in range(12):
+        for node in rng.sample(range(400), 3 + 14 * key):
+            low = rng.choice([9, 10, 11, 40, rng.randint(5, 60)])
+            rows.append((key, node, low, low + rng.choice([0, 0, 2, 9]), rng.randint(low // 2, low)))
+    index = spark.createDataFrame(rows, "key long, node long, n_low int, n_high int, left int")
+    want = set()
+    for a in rows:
+        for b in rows:
+            small, large = sorted((a, b), key=lambda r: r[3])
+            if a[0] == b[0] and a[1] < b[1] and 100 * small[3] >= 80 * large[2] and (1 + min(a[4], b[4])) * 180 >= 80 * (a[2] + b[2]):
+                want.add((a[1], b[1]))
+    for step, entries, most in ((1 << 10, 1 << 18, 1 << 20), (5, 10, 3), (1, 1, 1)):
+        for name, x in (("STEP", step), ("ENTRIES", entries), ("PAIRS", most)):
+            monkeypatch.setattr(jaccard, name, x)
+        with Workspace(spark, "blocks") as ws:
+            got = [tuple(r) for r in jaccard.in_lists(jaccard.meetings(ws, index, 80, 100), 80, 100).collect()]
+        assert len(got) == len(set(got)) and want == set(got)
+
+
 def test_secrets(spark):
     kinds = {"assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6), "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), "hex": (r"[0-9a-f]+", lambda m: len(m[0]) >= 24)}
     rng = random.Random(1)

@@ -1,5 +1,6 @@
 """The ten operators on small tables, against brute force; nulls, empty and long texts, ties, repeated rows, extra columns."""
 
+import os
 import collections
 import hashlib
 import itertools
@@ -232,6 +233,26 @@ def test_near_vectors(spark, monkeypatch):
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in range(900, 906))
 
 
+def test_near_vectors_are_written_once_a_block(spark, monkeypatch):
+    """Disk grows with the vectors: a chunk that has many meetings is one file, and it goes when the links are found."""
+    monkeypatch.setattr(neardup, "CHUNK", 30)
+    held, remove = [], neardup.remove
+
+    def seen(session, path):
+        folder = path.removeprefix("file:")
+        folder = folder[2:] if folder.startswith("//") else folder
+        held.append(sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if not f.startswith(".")))
+        remove(session, path)
+        assert not os.path.exists(folder)
+
+    monkeypatch.setattr(neardup, "remove", seen)
+    x = np.random.default_rng(3).normal(size=(600, 32)).astype(np.float32)
+    x[300:] = x[:300] * np.float32(1.5) + np.float32(0.01)
+    got = neardup.join(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")).collect()
+    assert len(got) == 600 and all(r.n_links >= 1 for r in got)
+    assert held == [600 * (16 + 32 * 4)] * 2  # one block after another
+
+
 def test_mixing_meets_targets(spark):
     rows = [(i, "w " * (1 + i % 5), ["en", "de"][i % 2] if i % 10 else None, f"src{i % 8}", 0, 1, 2, "x") for i in range(2000)]
     df = spark.createDataFrame(rows, DOCS)

@@ -178,8 +178,7 @@ def jaro_winkler_pairs(spark, d):
 
 
 def adm2_pairs(spark, d):
-    r = fixture.records(spark, d)
-    return blocking.attach(blocking.block(r, "adm2"), r)
+    return blocking.met(fixture.records(spark, d), ("adm2",))
 
 
 ADM2 = "adm2_pairs AS (SELECT l.unique_id AS id_l, r.unique_id AS id_r FROM records l JOIN records r USING (adm2) WHERE l.source_dataset = 'd1' AND r.source_dataset = 'd2')"
@@ -227,7 +226,7 @@ FIVE = [cmp.age(), cmp.SEX, cmp.geo(), cmp.JOB, cmp.PHONE]
 @query(o.sql(f"SELECT {', '.join(f'gamma_{c.name}' for c in FIVE)}, count(*) AS n FROM (SELECT {', '.join(f'{o.GAMMA[c.name]} AS gamma_{c.name}' for c in FIVE)} FROM (SELECT l, r FROM records l JOIN records r USING (name_key) WHERE l.source_dataset = 'd1' AND r.source_dataset = 'd2')) GROUP BY ALL", *BASE))
 def pattern_counts(spark, d):
     r = fixture.records(spark, d)
-    return training.patterns(blocking.attach(blocking.block(r, "name_key"), r), FIVE)
+    return training.patterns(blocking.met(r, ("name_key",)), FIVE)
 
 
 @query()

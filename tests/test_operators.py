@@ -1,11 +1,12 @@
 """Operators on small tables: brute force, closed forms, parameter recovery."""
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from linkloom.operators import assignment, evaluation, training, vocab
+from linkloom.operators import assignment, blocking, evaluation, training, vocab
 from linkloom.operators import comparisons as cmp
 from linkloom.operators.model import LinkModel
 
@@ -100,3 +101,41 @@ def test_metrics_and_sweep(spark):
         kept = [x for x in scores.collect() if 1 / (1 + 2 ** -(x.score + np.log2(1e-3 / 0.999))) >= thr]
         one = evaluation.metrics(assignment.one_to_one(spark.createDataFrame(kept)).where("selected"), truth).head()
         assert got["now", thr] == (one.predicted, one.correct)
+
+
+def some_records(spark, n=120):
+    rng = random.Random(5)
+    rows = [(i, "d1" if i % 3 else "d2", rng.choice(["A", "A", "A", "B", None]), rng.sample(["x", "y", "z", "w"], rng.randrange(4)) or None, [rng.choice("12345"), "9", "9"] if i % 4 == 0 else None, "Male") for i in range(n)]
+    return rows, spark.createDataFrame(rows, "unique_id long, source_dataset string, adm2 string, block_tokens array<string>, phones array<string>, sex string")
+
+
+def test_candidates_by_brute_force(spark, monkeypatch):
+    """Common keys are cut into chunks, sets share several members, and passes reach the same pairs."""
+    monkeypatch.setattr(blocking, "CHUNK", 7)
+    rows, df = some_records(spark)
+    share = lambda a, b: bool(set(a or ()) & set(b or ()))
+    want = {}
+    for a in rows:
+        for b in rows:
+            if a[1] == "d1" and b[1] == "d2":
+                held = [a[2] is not None and a[2] == b[2], share(a[3], b[3]), share(a[4], b[4])]
+                if any(held):
+                    want[a[0], b[0]] = held.index(True)
+    got = blocking.candidates(df).collect()
+    assert len(got) == len(want) and {(r.id_l, r.id_r): r.match_key for r in got} == want
+    both = [tuple(r) for r in blocking.block(df, "adm2", "block_tokens").collect()]
+    one = {(a[0], b[0]) for a in rows for b in rows if a[1] == "d1" and b[1] == "d2" and a[2] is not None and a[2] == b[2] and share(a[3], b[3])}
+    assert len(both) == len(one) and set(both) == one
+
+
+def test_pairs_are_not_shuffled(spark):
+    """No join, aggregate or exchange goes by the ids of pairs, so disk does not grow with their number."""
+    _, df = some_records(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for made in (cmp.gammas(blocking.met(df, ("adm2",)), [cmp.SEX]), blocking.candidates(df)):
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and not re.search(r"(Join|Exchange hashpartitioning|keys=)\s*[\[(][^\]]*\bid_[lr]#", plan), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

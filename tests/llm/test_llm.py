@@ -514,3 +514,16 @@ def test_shingles_do_not_cross_rows():
     data, off = textarrays.as_bytes(pa.array(rows))
     got = list(textarrays.shingle_rows(data, off, 5))
     assert [len(x) for x in got] == [1, 2, 0, 1] and got[0].tolist() == got[3].tolist()
+
+
+def test_repeats_hand_memory_back(spark, monkeypatch):
+    """Workers live on between tasks, so every step gives back what it no longer needs; the filter is made in its packed size."""
+    seen, plain = [], repeats.frugal
+    monkeypatch.setattr(repeats, "frugal", lambda f: seen.append(f.__name__) or plain(f))
+    text = "".join(random.Random(4).choices("abcdefgh ", k=900))
+    got = {r.doc_id: r for r in repeats.digest(repeats.remove_repeats(docs_of(spark, [(1, text), (2, "x" + text), (3, "other")]))).collect()}
+    assert (got[1].n_removed, got[2].n_removed, got[3].n_removed) == (900, 900, 0)
+    assert {"counted", "fold", "contexts", "sort", "deal", "meet", "cut"} <= set(seen)
+    grams = [5, -7, 1 << 40, (1 << 27) - 1, 5]
+    bits = repeats.filter_bits(spark.createDataFrame([(g,) for g in grams], "gram long"))
+    assert sorted(np.flatnonzero(np.unpackbits(bits))) == sorted({g % (1 << 27) for g in grams})

@@ -9,7 +9,7 @@ allows. Within a meeting, pairs within the block's budget are candidates, and ca
 in double precision. A pair counts in the first block where it is within budget, so in one meeting only.
 
 A block's chunks are written to the shared folder once, its meetings read their two chunks from there, and the files go before
-the next block; so disk grows with the vectors, not with the meetings.
+the next block (of few vectors, all blocks are met at once); so disk grows with the vectors, not with the meetings.
 
 Exact copies are one vector with a multiplicity. A meeting hands on a count for each of its vectors, and of its links only
 a spanning set (all links where they are few), so near copies by the thousand never become rows for all their pairs.
@@ -37,8 +37,10 @@ from linkloom.llm.common import Workspace, components, release, remove, shuffle_
 from linkloom.llm.textarrays import frugal
 from linkloom.llm.tokenids import mapped, sink
 
-BLOCK, CHUNK, TILE = 16, 16_384, 2048
+BLOCK, CHUNK, TILE = 16, 4096, 2048
 SAMPLE = 10_000
+#: Up to so many vectors all blocks are met at once, which needs the disk of all and waits for none.
+TOGETHER = 100_000
 #: A meeting of two chunks within a block.
 KEYS = ("run_1", "chunk_1", "run_2", "chunk_2")
 
@@ -215,16 +217,23 @@ def meetings(distinct: DataFrame, d: int, n: int, threshold: float, folder: str)
                 for a, b, count, _ in within(read(one), read(two), one == two, axes, blocks, budget, row[0], threshold):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b) if b is not None else pa.nulls(len(a), pa.int64()), pa.array(count) if count is not None else pa.nulls(len(a), pa.int64())], names=["a", "b", "count"])
 
+    every_block = None
     for k in range(len(blocks)):
         packed = distinct.select("node", "v", "times").mapInArrow(frugal(partial(dealt, k)), "block long, run long, chunk long, node binary, times binary, raw binary")
-        packed = packed.repartition(shuffle_parts(spark), "block", "run", "chunk").sortWithinPartitions("block", "run", "chunk")
+        packed = packed.repartition(min(shuffle_parts(spark), int(chunks.value[k].sum())), "block", "run", "chunk").sortWithinPartitions("block", "run", "chunk")
         listed = packed.mapInArrow(frugal(write), "block long, run long, chunk long, stem string").collect()  # a row for each chunk
         del packed
         release(spark)
         stems = spark.sparkContext.broadcast({(r.block, r.run, r.chunk): r.stem for r in listed})
         every = spark.createDataFrame([tuple(r[:3]) for r in listed], "block long, run long, chunk long")
         met = every.mapInArrow(partial(pair, stems), "block long, run_1 long, chunk_1 long, run_2 long, chunk_2 long")
-        yield met.repartition(4 * shuffle_parts(spark)).mapInArrow(frugal(partial(meet, stems)), "a long, b long, count long")
+        met = met.repartition(min(4 * shuffle_parts(spark), len(listed) * (len(listed) + 1) // 2)).mapInArrow(frugal(partial(meet, stems)), "a long, b long, count long")
+        if n > TOGETHER:
+            yield met
+        else:
+            every_block = met if every_block is None else every_block.union(met)
+    if every_block is not None:
+        yield every_block
 
 
 def vectors_of(batch: pa.RecordBatch) -> np.ndarray:

@@ -236,6 +236,7 @@ def test_near_vectors(spark, monkeypatch):
 def test_near_vectors_are_written_once_a_block(spark, monkeypatch):
     """Disk grows with the vectors: a chunk that has many meetings is one file, and it goes when the links are found."""
     monkeypatch.setattr(neardup, "CHUNK", 30)
+    monkeypatch.setattr(neardup, "TOGETHER", 0)
     held, remove = [], neardup.remove
 
     def seen(session, path):

@@ -247,8 +247,17 @@ def predicted(spark, d):
     return scoring.predict(fixture.records(spark, d), LinkModel.published(PRIOR))
 
 
-def scores_of(spark, d):
-    s = assignment.oriented(scoring.predictions(predicted(spark, d)), LinkModel.published(PRIOR).prior_bits)
+#: A match weight that pairs of a posterior of REVIEW have at least.
+REVIEWED = -1e-3
+
+
+def scores_of(spark, d, least=REVIEWED):
+    """The scores that what follows can use: of pairs of at least that match weight."""
+    return oriented(scoring.predict(fixture.records(spark, d), LinkModel.published(PRIOR), least))
+
+
+def oriented(predicted):
+    s = assignment.oriented(scoring.predictions(predicted), LinkModel.published(PRIOR).prior_bits)
     return cut(s.withColumn("score", F.round("score", 6)))
 
 
@@ -260,12 +269,12 @@ def score_pairs(spark, d):
 
 @query(o.sql("SELECT (2 * floor(match_weight / 2))::BIGINT AS bin, count(*) AS n FROM predicted GROUP BY 1", *SCORED))
 def weight_histogram(spark, d):
-    return scoring.histogram(predicted(spark, d))
+    return scoring.histogram(scoring.counts(fixture.records(spark, d), LinkModel.published(PRIOR)))
 
 
 @query(o.sql("SELECT threshold::DOUBLE AS threshold, count(*) FILTER (match_probability >= threshold) AS pairs FROM predicted, (VALUES (0.5), (0.9), (0.99)) t(threshold) GROUP BY 1", *SCORED))
 def threshold_counts(spark, d):
-    return scoring.above(predicted(spark, d))
+    return scoring.above(scoring.counts(fixture.records(spark, d), LinkModel.published(PRIOR)))
 
 
 @query(o.sql("SELECT row_1, row_2, round(score, 4) AS score, selected, class FROM links", *SCORED, o.LINKS))
@@ -310,8 +319,15 @@ DISPOSED = "disposed AS (SELECT t.row_1, t.row_2, s.score, s.posterior, s.score
 
 
 def disposed(spark, d):
-    s = scores_of(spark, d)
-    return evaluation.disposition(truth(spark, d), s, assignment.links(s))
+    return dispositions(spark, d)[0]
+
+
+def dispositions(spark, d):
+    """The reference pairs' dispositions, and those of them that are candidates, scored: no other pair's score is needed whole."""
+    r, t, model = fixture.records(spark, d), truth(spark, d), LinkModel.published(PRIOR)
+    own = cut(scoring.predict_of(t.pairs.select(F.col("row_1").alias("id_l"), F.col("row_2").alias("id_r")), r, model))
+    reviewed = oriented(scoring.predict(r, model, REVIEWED))
+    return evaluation.disposition(t, oriented(own), assignment.links(reviewed)), own
 
 
 @query(o.sql("SELECT in_block, band, selected, count(*) AS n FROM disposed GROUP BY ALL", *FULL, DISPOSED))
@@ -329,8 +345,8 @@ LABELS = {c.name: c.labels() for c in cmp.default()}
 
 @query(o.sql(" UNION ALL ".join(f"SELECT '{v}' AS variable, coalesce([{', '.join(map(o.q, x))}][gamma_{v} + 1], 'missing') AS level, count(*) AS n FROM predicted p JOIN disposed t ON p.id_l = t.row_1 AND p.id_r = t.row_2 WHERE t.in_block AND NOT t.selected GROUP BY ALL" for v, x in LABELS.items()), *FULL, DISPOSED))
 def missed_levels(spark, d):
-    p = predicted(spark, d).withColumnsRenamed({"id_l": "row_1", "id_r": "row_2"})
-    return evaluation.missed_levels(disposed(spark, d), p, LABELS)
+    x, p = dispositions(spark, d)
+    return evaluation.missed_levels(x, p.withColumnsRenamed({"id_l": "row_1", "id_r": "row_2"}), LABELS)
 
 
 # Audit.

@@ -29,6 +29,8 @@ from linkloom.llm.textarrays import frugal
 UND = "und"
 #: Languages of a part of the matrix: 2^16 buckets of 8 bytes each.
 TOGETHER = 256
+#: Characters of texts whose n-grams are held at once, about: some 100 bytes each; times languages, when scored.
+AT_ONCE = 100_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -69,7 +71,7 @@ def grams(texts: list[str | None], bits: int) -> Iterator[tuple[np.ndarray, np.n
         yield (x >> np.uint64(64 - bits)).astype(np.int64), starts
 
 
-def blocks(texts: list, most: int = 1_000_000) -> Iterator[tuple[int, list]]:
+def blocks(texts: list, most: int = AT_ONCE) -> Iterator[tuple[int, list]]:
     """Runs of whole texts of about that many characters."""
     a = size = 0
     for i, t in enumerate(texts):
@@ -123,7 +125,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def rated(part: Part, texts: list[str | None], best: list[str], top: np.ndarray, total: np.ndarray) -> None:
         """Brings the best language, its log-probability and the sum of all, by text, up to date."""
-        for a, some in blocks(texts):
+        for a, some in blocks(texts, min(AT_ONCE, max(1_000, 4 * AT_ONCE // len(part.languages)))):
             at = np.tile(part.log_prior, (len(some), 1))
             for x, starts in grams(some, model.bits):
                 got = np.flatnonzero(np.diff(starts))

@@ -222,9 +222,6 @@ def id_type(vocabulary: str) -> str:
     return "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every whole text and writes the corpus to the folder (layout above)."""
     spark, kind = docs.sparkSession, id_type(vocabulary)
@@ -233,10 +230,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, id
     rows = rows.repartitionByRange(shuffle_parts(spark), *order[:2]).sortWithinPartitions(*order)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocabulary not in _encoders:
-            _encoders.clear()
-            _encoders[vocabulary] = Encoder(vocabulary, kind)
-        use = _encoders[vocabulary]
+        use = Encoder(vocabulary, kind)  # the task's own, and gone with it before memory is handed back; one of the module would be copied for each task too
         shard, stem = TaskContext.get().partitionId(), None
         ids = offsets = names = None
         at = n = 0

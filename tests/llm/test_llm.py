@@ -528,3 +528,31 @@ def test_repeats_hand_memory_back(spark, monkeypatch):
     grams = [5, -7, 1 << 40, (1 << 27) - 1, 5]
     bits = repeats.filter_bits(spark.createDataFrame([(g,) for g in grams], "gram long"))
     assert sorted(np.flatnonzero(np.unpackbits(bits))) == sorted({g % (1 << 27) for g in grams})
+
+
+def test_workers_keep_no_encoder(spark, monkeypatch):
+    """When a task hands memory back, its encoder, with all that it remembers, is gone."""
+    plain = tokenids.frugal
+
+    def checked(f):
+        def run(batches):
+            import gc
+
+            yield from f(batches)
+            assert not [x for x in gc.get_objects() if type(x).__name__ == "Encoder"]
+
+        return plain(run)
+
+    monkeypatch.setattr(tokenids, "frugal", checked)
+    assert tokenids.token_id_output(docs_of(spark, [(i, f"text {i}") for i in range(40)]), vocabulary()).count() == 40
+
+
+def test_language_takes_few_characters_at_once():
+    import tracemalloc
+
+    texts = ["the house " * 20] * 5_000
+    tracemalloc.start()
+    n = sum(len(x) for _, some in langid.blocks(texts) for x, _ in langid.grams(some, 16))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 5_000 * (200 + 199 + 198) and most < 30_000_000

@@ -257,8 +257,12 @@ def scores_of(spark, d, least=REVIEWED):
 
 
 def oriented(predicted):
+    return cut(rounded(predicted))
+
+
+def rounded(predicted):
     s = assignment.oriented(scoring.predictions(predicted), LinkModel.published(PRIOR).prior_bits)
-    return cut(s.withColumn("score", F.round("score", 6)))
+    return s.withColumn("score", F.round("score", 6))
 
 
 @query(o.sql("SELECT id_l, id_r, round(match_weight, 6) AS match_weight, round(match_probability, 6) AS match_probability, gamma_name, gamma_age, gamma_sex, gamma_geo, gamma_job, gamma_phone, round(bf_tf_adj_geo, 6) AS bf_tf_adj_geo FROM predicted", *SCORED))

@@ -139,3 +139,15 @@ def test_assignment_of_rounds_and_finish(spark, monkeypatch, keys):
         got = assignment.one_to_one(df, keys).collect()
         assert len(got) == len(rows)
         assert {tuple(r)[:-2] for r in got if r.selected} == want
+
+
+def test_assignment_drops_pairs_of_taken_rows_before_the_driver(spark, monkeypatch):
+    """Many parts: the selected pairs are those of all pairs at once, though few of the later ones come to the driver."""
+    rng = random.Random(8)
+    rows = [(i, 1000 + j, float(rng.randint(0, 30)) if i % 3 else 7.5) for i in range(60) for j in range(50)]
+    want, came, plain = set(assignment.finished(rows, 0)), [], assignment.greedy
+    monkeypatch.setattr(assignment, "FINISH", 200)
+    monkeypatch.setattr(assignment, "greedy", lambda p, *a: came.append(p.num_rows) or plain(p, *a))
+    got = assignment.chosen(spark.createDataFrame(rows, "row_1 long, row_2 long, score double").repartition(3)).collect()
+    assert {(r.row_1, r.row_2) for r in got} == want and len(got) == 50
+    assert sum(came) < len(rows) // 2 and max(came) <= 800

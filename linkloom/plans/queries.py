@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import occupations, phones, places, similarity, text
-from linkloom.operators import assignment, audit, blocking, evaluation, scoring, training, vocab
+from linkloom.operators import assignment, audit, blocking, evaluation, scoring, tiling, training, vocab
 from linkloom.operators import comparisons as cmp
 from linkloom.operators.model import LinkModel
 from linkloom.plans import fixture
@@ -186,7 +186,7 @@ ADM2 = "adm2_pairs AS (SELECT l.unique_id AS id_l, r.unique_id AS id_r FROM reco
 
 @query(o.sql("SELECT id_l, id_r, name_sim, shared_bits, gamma_name FROM gammas", *BASE, ADM2, o.staged("adm2_pairs")))
 def levels_name(spark, d):
-    return cmp.gammas(adm2_pairs(spark, d), [cmp.name()]).select("id_l", "id_r", "name_sim", "shared_bits", "gamma_name")
+    return tiling.names(fixture.records(spark, d), cmp.name(), "adm2")
 
 
 def plain_levels(c: cmp.Comparison):

@@ -99,6 +99,32 @@ def test_names_of_a_block_are_compared_many_tokens_at_once(monkeypatch):
         assert sum(calls) >= len(words) and (len(calls) < len(words) or kept < 1 << 26)
 
 
+@pytest.mark.parametrize("few, tile, kept", [(1, 50, 1 << 12), (10**9, 50, 1 << 26), (1, 1 << 18, 1 << 26)])
+def test_names_of_a_pass_are_compared_once(spark, monkeypatch, few, tile, kept):
+    """The very values of the pairs one by one, without a comparison of each in the engine."""
+    monkeypatch.setattr(tiling, "FEW", few)
+    monkeypatch.setattr(tiles, "TILE", tile)
+    monkeypatch.setattr(tiles, "KEPT", kept)
+    df = spark.createDataFrame([(*p[:3], p[12], *p[4:]) for p in people(8)], RECORD).cache()
+    for key in ("adm2", "block_tokens"):
+        want = cmp.gammas(blocking.met(df, (key,)), [cmp.name()]).select("id_l", "id_r", "name_sim", "shared_bits", "gamma_name")
+        got = tiling.names(df, cmp.name(), key)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan and got.dtypes == want.dtypes
+        rows = sorted(map(tuple, got.collect()), key=lambda r: r[:2])
+        assert rows == sorted(map(tuple, want.collect()), key=lambda r: r[:2]) and len({r[4] for r in rows}) > 5 and any(r[2] is None for r in rows)
+
+
+def test_rounded_as_the_engine_rounds(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    x = [k / 1024 for k in range(-99, 99)] + [rng.random() * 30 for _ in range(300)] + [float(f"{rng.random():.9f}5") for _ in range(300)]
+    for digits in (6, 9):
+        want = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", digits)).collect()]
+        assert tiles.half_up(np.array(x), digits).tolist() == want
+
+
 def test_faults_are_told_without_a_shuffle_of_pairs(spark, monkeypatch):
     """Lists of all candidates, each once, in cells of their own; pairs within a table and repeated ones are counted in their cell."""
     from pyspark.sql import functions as F

@@ -267,8 +267,8 @@ def rounded(predicted):
 
 @query(o.sql("SELECT id_l, id_r, round(match_weight, 6) AS match_weight, round(match_probability, 6) AS match_probability, gamma_name, gamma_age, gamma_sex, gamma_geo, gamma_job, gamma_phone, round(bf_tf_adj_geo, 6) AS bf_tf_adj_geo FROM predicted", *SCORED))
 def score_pairs(spark, d):
-    p = predicted(spark, d)
-    return p.select("id_l", "id_r", *[F.round(c, 6).alias(c) for c in ("match_weight", "match_probability", "bf_tf_adj_geo")], *[c for c in p.columns if c.startswith("gamma_")])
+    p = scoring.predict(fixture.records(spark, d), LinkModel.published(PRIOR), digits=6)
+    return p.select("id_l", "id_r", "match_weight", "match_probability", "bf_tf_adj_geo", *[c for c in p.columns if c.startswith("gamma_")])
 
 
 @query(o.sql("SELECT (2 * floor(match_weight / 2))::BIGINT AS bin, count(*) AS n FROM predicted GROUP BY 1", *SCORED))

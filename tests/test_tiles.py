@@ -128,6 +128,25 @@ def test_levels_by_factor_are_told_once_a_level(spark):
     assert "LOG2" not in plan and "array_min" not in plan
 
 
+@pytest.mark.parametrize("few, tile, flags", [(1, 50, 1 << 22), (10**9, 1 << 18, 1 << 22), (1, 1 << 18, 10)])
+def test_rounded_scores_are_told_once_a_combination(spark, monkeypatch, few, tile, flags):
+    """As each pair's score rounded in the engine, without a logarithm or a rounding of each pair there."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(tiling, "FEW", few)
+    monkeypatch.setattr(tiling, "TILE", tile)
+    monkeypatch.setattr(tiling, "FLAGS", flags)
+    df, model = spark.createDataFrame(people(), RECORD).cache(), LinkModel.published(1e-3)
+    want = scoring.predict(df, model).withColumns({c: F.round(c, 6) for c in ("match_weight", "match_probability", "bf_tf_adj_geo")})
+    got = scoring.predict(df, model, digits=6)
+    rows = sorted(map(tuple, got.collect()))
+    assert got.dtypes == want.dtypes and rows == sorted(map(tuple, want.collect())) and len({r[2] for r in rows}) > 20
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LOG2(" not in plan.split("MapInArrow")[0] and "round(" not in plan.split("MapInArrow")[0]
+    high = {tuple(r) for r in scoring.score(None, df, model, least=0.0, digits=6).collect()}
+    assert {r for r in rows if r[2] >= 0.0} == high
+
+
 def test_rounded_as_the_engine_rounds(spark):
     from pyspark.sql import functions as F
 
